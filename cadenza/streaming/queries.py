@@ -1,6 +1,77 @@
-"""Registered streaming queries."""
+"""Registered streaming queries.
+
+Each one writes its input (derived by Spark from the driver's tables) as several Parquet
+files into a fresh folder under the session's checkpoint directory, runs the streaming
+query over them with ``availableNow`` (one file per micro-batch, so state really carries
+across batches), and returns a batch read of the sink. Their final answers equal the batch
+queries of the same data, so the batch oracles apply to them.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLES: dict = {}
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadenza.operators import serving
+from cadenza.plans.oracles import BASE
+from cadenza.session import checkpoint_dir
+from cadenza.sources.fixtures import Fixture
+from cadenza.streaming import online
+
+SOURCE_FILES = 4
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _write_source(df: DataFrame, path: str, order_col: str) -> None:
+    # several files in time order, so the stream sees several micro-batches
+    df.repartitionByRange(SOURCE_FILES, order_col).write.parquet(path)
+
+
+def q_stream_last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    base = _scratch(spark, "last-events")
+    _write_source(fx.online_events, f"{base}/source", "ts")
+    q = online.run_last_events(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
+    q.awaitTermination()
+    latest = online.latest_per_user(spark.read.parquet(f"{base}/sink"))
+    return online.state_as_list(latest)
+
+
+def q_stream_blended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    base = _scratch(spark, "blended")
+    _write_source(fx.online_events, f"{base}/source", "ts")
+    q = online.run_blended_refresh(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
+                                   fx.nation_recs, fx.top_popular, fx.similar, fx.events, fx.requests)
+    q.awaitTermination()
+    sink = spark.read.parquet(f"{base}/sink")
+    return online.latest_per_user(sink).select("user_id", "pos", "item_id")
+
+
+def q_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    base = _scratch(spark, "clean")
+    _write_source(fx.interactions, f"{base}/source", "started_at")
+    q = online.run_clean(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", fx.tracks)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/sink").select("user_id", "track_id", "started_at")
+
+
+STREAM_QUERIES = {
+    "stream_last_events": q_stream_last_events,
+    "stream_blended": q_stream_blended,
+    "stream_clean": q_stream_clean,
+}
+
+STREAM_ORACLES = {
+    "stream_last_events": "WITH " + BASE + "\nSELECT user_id, pos, item_id, ts, event_id FROM last_events",
+    # only users with online events have streaming state, hence a refreshed list
+    "stream_blended": "WITH " + BASE + "\nSELECT user_id, pos, item_id FROM blended_list "
+                      "WHERE user_id IN (SELECT user_id FROM online)",
+    "stream_clean": "WITH " + BASE + "\nSELECT user_id, track_id, started_at FROM clean",
+}
