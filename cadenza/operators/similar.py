@@ -56,7 +56,7 @@ def _kept(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _block_pair_topk(k: int, chunk: int = 1024):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         a, b = int(key[0]), int(key[1])
         left = pdf[pdf["block"] == a]
         right = left if a == b else pdf[pdf["block"] == b]
