@@ -105,11 +105,11 @@ def nation_recs(spark: SparkSession, sf_dir: str, train: DataFrame, users: DataF
     nation = user_nation(spark, sf_dir)
     per_item = (train.join(nation, "user_id").groupBy("nation", "item_id")
                 .agg(F.count(F.lit(1)).alias("plays")))
+    totals = per_item.groupBy("nation").agg(F.sum("plays").alias("nation_plays"))
     w = Window.partitionBy("nation").orderBy(F.desc("plays"), F.asc("item_id"))
-    totals = Window.partitionBy("nation")
     top = (per_item.withColumn("rank", F.row_number().over(w))
-           .withColumn("nation_plays", F.sum("plays").over(totals))
-           .filter(F.col("rank") <= n)
+           .filter(F.col("rank") <= n)  # map-side WindowGroupLimit: ≤ n rows per nation per task
+           .join(F.broadcast(totals), "nation")  # one row per nation
            .select("nation", "item_id", "rank",
                    (F.col("plays") / F.col("nation_plays")).alias("score")))
     return (users.select("user_id").join(nation, "user_id")

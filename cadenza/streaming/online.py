@@ -12,9 +12,9 @@ T2 refreshes the blended lists of the users whose state changed in a micro-batch
 T3 runs the batch cleaning function on a streaming DataFrame (stateless filter plus a
 stream–static semi join).
 
-Sinks are Parquet folders in append mode with the micro-batch id as a column; a reader
-takes the latest row per user (:func:`latest_per_user`), which makes re-delivered batches
-after a failure harmless.
+Sinks are Parquet folders with one ``batch_id=N`` sub-folder per micro-batch, overwritten
+when a batch is re-delivered after a failure; a reader takes the latest version per user
+(:func:`latest_per_user`).
 """
 
 from __future__ import annotations
@@ -54,10 +54,32 @@ def _keep_newest(n: int):
     return update
 
 
+def _partial_newest(n: int):
+    """Per input partition, the newest ``n`` events of each user (map-side pre-limit).
+
+    A user holding a large share of a micro-batch reaches the keyed state with at most
+    ``n`` rows per partition instead of all of its rows. Memory is ``n`` rows per user
+    seen in the partition.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for pdf in batches:
+            both = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            kept = (both.sort_values(["user_id", "ts", "event_id"], ascending=[True, False, False], kind="mergesort")
+                    .groupby("user_id", sort=False).head(n))
+        if kept is not None and len(kept):
+            yield kept
+    return run
+
+
+EVENT_COLUMNS = "user_id int, item_id int, ts timestamp_ntz, event_id bigint"
+
+
 def latest_events_state(online_stream: DataFrame, n: int = serving.ONLINE_KEEP) -> DataFrame:
     """Streaming DataFrame of ``user_id, version, items, ts, event_ids`` (newest first),
     one row per user whose state changed in the micro-batch (update mode)."""
     return (online_stream.select("user_id", "item_id", "ts", "event_id")
+            .mapInPandas(_partial_newest(n), EVENT_COLUMNS)
             .groupBy("user_id")
             .applyInPandasWithState(_keep_newest(n), LATEST_SCHEMA, STATE_SCHEMA, "update",
                                     GroupStateTimeout.NoTimeout))
@@ -77,6 +99,12 @@ def latest_per_user(sink: DataFrame, order_col: str = "version") -> DataFrame:
     return sink.join(top, "user_id").filter(F.col(order_col) == F.col("_top")).drop("_top")
 
 
+def _write_batch(df: DataFrame, sink: str, batch_id: int) -> None:
+    """Idempotent micro-batch write: a re-delivered batch overwrites its own
+    ``batch_id=N`` folder instead of appending duplicates (foreachBatch is at-least-once)."""
+    df.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
+
+
 def read_online_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(ONLINE_EVENTS).option("maxFilesPerTrigger", files_per_trigger)
             .parquet(path))
@@ -93,7 +121,7 @@ def run_last_events(spark: SparkSession, source: str, sink: str, checkpoint: str
     state = latest_events_state(read_online_stream(spark, source), n)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        _write_batch(batch, sink, batch_id)
 
     writer = state.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("update")
     writer = writer.trigger(availableNow=True) if available_now else writer
@@ -112,13 +140,13 @@ def run_blended_refresh(spark: SparkSession, source: str, sink: str, checkpoint:
     state = latest_events_state(read_online_stream(spark, source))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select("user_id", "version").persist()
+        batch = batch.persist()  # the stateful plan runs once per micro-batch
+        changed = batch.select("user_id", "version")
         recent = state_as_list(batch)
         req = requests.join(changed.select("user_id"), "user_id", "left_semi")
         blended = serving.blended_recs(req, recs, top, recent, similar, events)
-        (blended.join(changed, "user_id").withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(sink))
-        changed.unpersist()
+        _write_batch(blended.join(changed, "user_id"), sink, batch_id)
+        batch.unpersist()
 
     writer = state.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).outputMode("update")
     writer = writer.trigger(availableNow=True) if available_now else writer
