@@ -16,14 +16,18 @@ TOP_N = 100
 RECS_N = 50
 
 
-def item_popularity(train: DataFrame) -> DataFrame:
+def item_popularity(train: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Plays (non-null timestamps) and exact distinct users per item.
 
     Two explicit levels: ``(item, user)`` groups first (shuffled on both keys, so a hot
     item is spread over many tasks), then per item a sum of plays and a count of users,
     whose map-side partial aggregation reduces a hot item to one row per task before
     its shuffle. Same result as ``count(started_at), count(DISTINCT user_id)``.
+    ``approx=True`` estimates users with a HyperLogLog++ sketch instead.
     """
+    if approx:  # HyperLogLog++ sketch per item: one pass, no (item, user) shuffle
+        return train.groupBy("item_id").agg(F.count("started_at").alias("plays"),
+                                            F.approx_count_distinct("user_id", rsd).alias("users"))
     pairs = train.groupBy("item_id", "user_id").agg(F.count("started_at").alias("c"))
     return pairs.groupBy("item_id").agg(F.sum("c").alias("plays"), F.count("user_id").alias("users"))
 

@@ -32,6 +32,15 @@ def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """``(table_name, rows)`` for every given table (one count per table)."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def type_counts(catalog_names: DataFrame) -> DataFrame:
     return catalog_names.groupBy("type").agg(F.count(F.lit(1)).alias("rows"))
 

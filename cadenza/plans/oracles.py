@@ -248,6 +248,16 @@ UNION ALL SELECT 'interactions', 'user_id', count(*) FILTER (WHERE user_id IS NU
 UNION ALL SELECT 'interactions', 'track_id', count(*) FILTER (WHERE track_id IS NULL) FROM interactions
 UNION ALL SELECT 'interactions', 'track_seq', count(*) FILTER (WHERE track_seq IS NULL) FROM interactions
 UNION ALL SELECT 'interactions', 'started_at', count(*) FILTER (WHERE started_at IS NULL) FROM interactions"""),
+    "row_counts": _with("""
+SELECT 'tracks' AS table_name, count(*) AS rows FROM tracks
+UNION ALL SELECT 'catalog_names', count(*) FROM catalog_names
+UNION ALL SELECT 'interactions', count(*) FROM interactions
+UNION ALL SELECT 'interactions_clean', count(*) FROM clean
+UNION ALL SELECT 'items', count(*) FROM items
+UNION ALL SELECT 'events', count(*) FROM play_events
+UNION ALL SELECT 'train', count(*) FROM train
+UNION ALL SELECT 'test', count(*) FROM test"""),
+    "plays_per_track": _with("SELECT track_id, count(*) AS plays FROM clean GROUP BY track_id"),
     "catalog_type_counts": _with("SELECT type, count(*) AS rows FROM catalog_names GROUP BY type"),
     "plays_per_user": _with("SELECT user_id, count(*) AS tracks_played FROM clean GROUP BY user_id"),
     "plays_summary": _with(f"""

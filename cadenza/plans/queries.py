@@ -37,6 +37,17 @@ def q_null_counts(spark, sf_dir):
                                 "interactions": fx.interactions})
 
 
+def q_row_counts(spark, sf_dir):
+    fx = Fixture(spark, sf_dir)
+    return profile.row_counts({"tracks": fx.tracks, "catalog_names": fx.catalog_names,
+                               "interactions": fx.interactions, "interactions_clean": fx.clean,
+                               "items": fx.items, "events": fx.events, "train": fx.train, "test": fx.test})
+
+
+def q_plays_per_track(spark, sf_dir):
+    return profile.plays_per_track(Fixture(spark, sf_dir).clean)
+
+
 def q_catalog_type_counts(spark, sf_dir):
     return profile.type_counts(Fixture(spark, sf_dir).catalog_names)
 
@@ -177,7 +188,9 @@ def q_served_source_counts(spark, sf_dir):
 QUERIES: dict[str, QueryFn] = {
     "clean_interactions": q_clean_interactions,
     "null_counts": q_null_counts,
+    "row_counts": q_row_counts,
     "catalog_type_counts": q_catalog_type_counts,
+    "plays_per_track": q_plays_per_track,
     "plays_per_user": q_plays_per_user,
     "plays_summary": q_plays_summary,
     "plays_histogram": q_plays_histogram,

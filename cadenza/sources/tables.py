@@ -74,6 +74,11 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return df.sparkSession.read.parquet(path)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows, in no particular order (a look at the data, not a top-k)."""
+    return df.limit(n)
+
+
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
     """Metrics summary as CSV with a header, one row per model (the model name first)."""
     conform(metrics, METRICS).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -77,3 +77,20 @@ def test_ranker_ties_prefer_higher_als_score(spark):
         assert order == [6, 5, 4, 3, 2, 1]  # equal score → higher ALS score first
     same = ranker.rank_candidates(model, flat, users, n=2)
     assert sorted(r.item_id for r in same.collect()) == [1, 1, 1, 2, 2, 2]  # then lower item id
+
+
+def test_similar_items_lsh_finds_most_exact_neighbours(spark, fx):
+    from cadenza.operators.similar import similar_items_lsh
+    exact = {(r.item_id_1, r.item_id_2) for r in similar_items(fx.embeddings, k=5).collect()}
+    approx = similar_items_lsh(fx.embeddings, k=5, bucket_length=2.0, num_hash_tables=8, max_distance=1.5)
+    got = {(r.item_id_1, r.item_id_2) for r in approx.collect()}
+    assert got and len(got & exact) / len(exact) > 0.5
+    assert approx.filter(F.col("item_id_1") == F.col("item_id_2")).count() == 0
+
+
+def test_item_popularity_approx_close_to_exact(spark, fx):
+    from cadenza.operators.popularity import item_popularity
+    exact = {r.item_id: r.users for r in item_popularity(fx.train).collect()}
+    approx = {r.item_id: r.users for r in item_popularity(fx.train, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[i] - exact[i]) <= max(1, 0.05 * exact[i]) for i in exact)
