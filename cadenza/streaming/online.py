@@ -134,7 +134,8 @@ def run_blended_refresh(spark: SparkSession, source: str, sink: str, checkpoint:
     """Start T2: per micro-batch, blended lists of the users whose online state changed.
 
     The changed users' newest events come from the state rows of the batch; offline lists,
-    similar items and history are static tables. Output rows
+    similar items and history are static tables (pass written tables, e.g. the build's
+    outputs, so that each micro-batch reads them rather than recomputing them). Output rows
     ``user_id, version, pos, item_id`` are appended to ``sink``.
     """
     state = latest_events_state(read_online_stream(spark, source))
