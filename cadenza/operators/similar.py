@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.session import ship_package
+
 # Fixed value of the original pipeline: 10 neighbours per item (11 fetched with itself).
 SIMILAR_K = 10
 DEFAULT_BLOCK = 2048
@@ -98,6 +100,7 @@ def similar_items(vectors: DataFrame, k: int = SIMILAR_K, block_size: int = DEFA
 
     ``n_blocks`` defaults to ``ceil(count / block_size)`` (one count action).
     """
+    ship_package(vectors.sparkSession)
     unit = (vectors.select(F.col(id_col).cast("int").alias("item_id"), F.col(vec_col).alias("v"))
             .filter(l2_norm(F.col("v")) > 0)
             .select("item_id", l2_normalize(F.col("v")).alias("unit")))

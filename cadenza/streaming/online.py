@@ -28,6 +28,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cadenza.operators import serving
 from cadenza.operators.clean import clean_interactions
+from cadenza.session import ship_package
 from cadenza.sources.tables import INTERACTIONS, ONLINE_EVENTS
 
 STATE_SCHEMA = "items array<int>, ts array<timestamp_ntz>, event_ids array<bigint>, version bigint"
@@ -78,6 +79,7 @@ EVENT_COLUMNS = "user_id int, item_id int, ts timestamp_ntz, event_id bigint"
 def latest_events_state(online_stream: DataFrame, n: int = serving.ONLINE_KEEP) -> DataFrame:
     """Streaming DataFrame of ``user_id, version, items, ts, event_ids`` (newest first),
     one row per user whose state changed in the micro-batch (update mode)."""
+    ship_package(online_stream.sparkSession)
     return (online_stream.select("user_id", "item_id", "ts", "event_id")
             .mapInPandas(_partial_newest(n), EVENT_COLUMNS)
             .groupBy("user_id")
