@@ -84,3 +84,24 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20,
+               max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for a given expected shuffle volume (largest stage) and cluster size.
+
+    Shuffle partitions are sized so one partition is about ``target_partition_bytes``
+    (fits an executor core's memory share with room for sort buffers), never fewer than
+    two waves of tasks; AQE then coalesces small partitions and splits skewed ones at
+    run time. Scan splits stay at ``max_split_bytes``. Example: 100 TB scanned with ~20 TB
+    of shuffle on 8,000 cores gives 163,840 shuffle partitions of ~128 MB.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    }

@@ -128,3 +128,13 @@ def test_served_lists_properties(spark, fx):
         if name != "blended_recs":
             assert df.join(seen, ["user_id", "item_id"]).count() == 0, name
         df.unpersist()
+
+
+def test_offline_can_exclude_recent_online_items(spark):
+    recs = spark.createDataFrame([(1, i, 1.0 - i / 10) for i in range(1, 6)], "user_id int, item_id int, score double")
+    top = spark.createDataFrame([(9, 1, 1.0)], "item_id int, rank int, score double")
+    history = spark.createDataFrame([], T.EVENTS)
+    req = spark.createDataFrame([(1, 3)], T.REQUESTS)
+    online_seen = spark.createDataFrame([(1, 2)], "user_id int, item_id int")
+    assert lists(serving.offline_recs(req, recs, top, history))[1] == [1, 2, 3]
+    assert lists(serving.offline_recs(req, recs, top, history, extra_seen=online_seen))[1] == [1, 3, 4]
