@@ -67,21 +67,23 @@ def histogram(values: DataFrame, column: str, bins: int = HIST_BINS) -> DataFram
     """Equal-width histogram between min and max: ``(bin, bin_start, bin_end, users)``.
 
     Bins are 1-based and the maximum falls into the last bin. All ``bins`` rows are
-    returned, empty ones with 0. The bounds are one aggregate row joined back (broadcast,
-    one row); the counting is a plain grouped aggregation.
+    returned, empty ones with 0. The two bounds are fetched first (one aggregate action
+    returning two numbers); the counting is a grouped aggregation with map-side partial
+    counts, and the ``bins``-row grid is joined to it on the bin number.
     """
-    bounds = values.agg(F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    idx = F.when(F.col("hi") == F.col("lo"), F.lit(1)).otherwise(
-        F.least(F.floor((F.col(column) - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))).cast("int") + 1,
-                F.lit(bins)))
-    counted = (values.select(column).crossJoin(F.broadcast(bounds))
-               .groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("users")))
-    grid = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    lo, hi = values.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    spark = values.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin int, bin_start double, bin_end double, users bigint")
+    width = (hi - lo) / bins
+    idx = (F.lit(1) if hi == lo else
+           F.least(F.floor((F.col(column) - F.lit(lo)) * bins / F.lit(hi - lo)).cast("int") + 1, F.lit(bins)))
+    counted = values.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("users"))
+    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counted, "bin", "left")
-            .select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_start"),
-                    (F.col("lo") + F.col("bin") * width).alias("bin_end"),
-                    F.coalesce("users", F.lit(0)).alias("users")))
+            .select("bin", (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"),
+                    (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_end"),
+                    F.coalesce("users", F.lit(0)).cast("bigint").alias("users")))
 
 
 def top_tracks(interactions: DataFrame, catalog_names: DataFrame, n: int = TOP_REPORT) -> DataFrame:
