@@ -36,8 +36,11 @@ LATEST_SCHEMA = ("user_id int, version bigint, items array<int>, ts array<timest
                  "event_ids array<bigint>")
 
 
-def _keep_newest(n: int):
+def _keep_newest(n: int, idle_ms: int | None = None):
     def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # idle user: drop its state, emit nothing
+            state.remove()
+            return
         frames = list(batches)
         if state.exists:
             items, ts, ids, version = state.get
@@ -50,6 +53,8 @@ def _keep_newest(n: int):
         ts = [pd.Timestamp(x).to_pydatetime() for x in newest["ts"]]
         ids = [int(x) for x in newest["event_id"]]
         state.update((items, ts, ids, version + 1))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"user_id": [int(key[0])], "version": [version + 1], "items": [items],
                             "ts": [ts], "event_ids": [ids]})
     return update
@@ -76,15 +81,21 @@ def _partial_newest(n: int):
 EVENT_COLUMNS = "user_id int, item_id int, ts timestamp_ntz, event_id bigint"
 
 
-def latest_events_state(online_stream: DataFrame, n: int = serving.ONLINE_KEEP) -> DataFrame:
+def latest_events_state(online_stream: DataFrame, n: int = serving.ONLINE_KEEP,
+                        idle_timeout_ms: int | None = None) -> DataFrame:
     """Streaming DataFrame of ``user_id, version, items, ts, event_ids`` (newest first),
-    one row per user whose state changed in the micro-batch (update mode)."""
+    one row per user whose state changed in the micro-batch (update mode).
+
+    State is at most ``n`` events per user. ``idle_timeout_ms`` drops the state of users
+    without events for that long (processing time), bounding the number of users kept.
+    """
     ship_package(online_stream.sparkSession)
+    timeout = GroupStateTimeout.NoTimeout if idle_timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return (online_stream.select("user_id", "item_id", "ts", "event_id")
             .mapInPandas(_partial_newest(n), EVENT_COLUMNS)
             .groupBy("user_id")
-            .applyInPandasWithState(_keep_newest(n), LATEST_SCHEMA, STATE_SCHEMA, "update",
-                                    GroupStateTimeout.NoTimeout))
+            .applyInPandasWithState(_keep_newest(n, idle_timeout_ms), LATEST_SCHEMA, STATE_SCHEMA, "update",
+                                    timeout))
 
 
 def state_as_list(state_rows: DataFrame) -> DataFrame:
@@ -118,9 +129,16 @@ def read_interactions_stream(spark: SparkSession, path: str, files_per_trigger:
 
 
 def run_last_events(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                    n: int = serving.ONLINE_KEEP, available_now: bool = True):
-    """Start T1: state rows appended to ``sink`` (Parquet) tagged with the batch id."""
-    state = latest_events_state(read_online_stream(spark, source), n)
+                    n: int = serving.ONLINE_KEEP, available_now: bool = True,
+                    idle_timeout_ms: int | None = None):
+    """Start T1: state rows written to ``sink`` (Parquet), one folder per micro-batch.
+
+    An idle timeout needs a continuously running query: timeouts fire in micro-batches
+    without data, so an ``availableNow`` query with one would never end.
+    """
+    if idle_timeout_ms is not None and available_now:
+        raise ValueError("idle_timeout_ms needs a continuous trigger (available_now=False)")
+    state = latest_events_state(read_online_stream(spark, source), n, idle_timeout_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _write_batch(batch, sink, batch_id)
