@@ -35,12 +35,17 @@ def q_als_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(similar_items(vectors))
 
 
+_RANKER_CACHE: dict[tuple[int, str], object] = {}
+
+
 def final_recommendations(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
     personal = cf.personal_recs(_als_model(spark, sf_dir, fx))
     cands = ranker.build_candidates(personal, fx.train)
-    sampled = ranker.sample_users(cands.select("user_id").distinct())
-    model = ranker.fit_ranker(cands, sampled)
-    return ranker.rank_candidates(model, cands, fx.test_users)
+    key = (id(spark), sf_dir)
+    if key not in _RANKER_CACHE:  # one ranker fit per session and input folder
+        sampled = ranker.sample_users(cands.select("user_id").distinct())
+        _RANKER_CACHE[key] = ranker.fit_ranker(cands, sampled)
+    return ranker.rank_candidates(_RANKER_CACHE[key], cands, fx.test_users)
 
 
 def q_ranker_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
