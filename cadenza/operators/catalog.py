@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.columns import distinct_keep_null
+
 # Entity types of the catalog and the list column holding each one.
 LIST_TYPES = (("albums", "album"), ("artists", "artist"), ("genres", "genre"))
 TRACK_TYPE = "track"
@@ -34,16 +36,6 @@ def _tagger(type_: str):
     return lambda x: F.struct(F.lit(type_).alias("type"), x.cast("int").alias("id"))
 
 
-def distinct_keep_null(values: Column) -> Column:
-    """Aggregate: sorted distinct values, one null kept if any value was null.
-
-    ``collect_set`` drops nulls; collecting one-field structs keeps them, and
-    ``array_distinct`` then keeps a single null. Nulls sort last.
-    """
-    return F.array_sort(F.array_distinct(F.transform(
-        F.collect_list(F.struct(values.alias("v"))), lambda s: s["v"])))
-
-
 def build_items(tracks: DataFrame, catalog_names: DataFrame, drop_unknown: bool = False) -> DataFrame:
     """``item_id, albums, artists, genres, name`` — lists of names, unknown ids kept as one null.
 

@@ -11,20 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.columns import SAMPLE_EVERY, SAMPLE_PHASE, systematic_sample
 from cadenza.sources.tables import INTERACTIONS, conform
 
-# Fixed values of the original pipeline: keep one interaction in three, the positions
-# with (track_seq + 2) % 3 == 0, i.e. 1, 4, 7, ...
-SAMPLE_EVERY = 3
-SAMPLE_PHASE = 1
-
-
-def systematic_sample(seq: Column, every: int = SAMPLE_EVERY, phase: int = SAMPLE_PHASE) -> Column:
-    """Predicate keeping positions ``phase, phase + every, ...`` of a 1-based sequence."""
-    if every < 1:
-        raise ValueError("every must be >= 1")
-    return ((seq + (every - phase)) % every) == 0
-
 
 def clean_interactions(interactions: DataFrame, tracks: DataFrame, sample_every: int = SAMPLE_EVERY,
                        sample_phase: int = SAMPLE_PHASE) -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.functions.columns import blend_arrays  # noqa: F401  (array twin of blend)
+
 from cadenza.operators.metrics import rank_recs
 from cadenza.operators.popularity import default_list
 
@@ -176,16 +178,3 @@ def blended_recs(requests: DataFrame, recs: DataFrame, top: DataFrame, recent: D
     return blend(off, on, requests)
 
 
-def blend_arrays(offline: F.Column, online: F.Column, k: F.Column | int) -> F.Column:
-    """Array twin of :func:`blend` for list-valued columns.
-
-    ``zip_with`` pads the shorter list with nulls, so only the first ``2m`` entries of the
-    flattened pairs are kept; the rest of the longer list follows; ``array_distinct``
-    keeps first occurrences in order.
-    """
-    k = F.lit(k) if isinstance(k, int) else k
-    m = F.least(F.size(offline), F.size(online))
-    interleaved = F.slice(F.flatten(F.zip_with(offline, online, lambda a, b: F.array(a, b))), F.lit(1), 2 * m)
-    longer = F.when(F.size(offline) >= F.size(online), offline).otherwise(online)
-    rest = F.slice(longer, m + 1, F.size(longer) - m)
-    return F.slice(F.array_distinct(F.concat(interleaved, rest)), F.lit(1), k)

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.functions.columns import l2_norm, l2_normalize
 from cadenza.session import ship_package
 
 # Fixed value of the original pipeline: 10 neighbours per item (11 fetched with itself).
@@ -35,16 +36,6 @@ DEFAULT_BLOCK = 2048
 OUT_SCHEMA = "item_id_1 int, item_id_2 int, score double"
 
 
-def l2_norm(vec: Column) -> Column:
-    return F.sqrt(F.aggregate(vec, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x))
-
-
-def l2_normalize(vec: Column) -> Column:
-    """Unit vector in double precision; callers drop zero vectors first."""
-    norm = l2_norm(vec)
-    return F.transform(vec, lambda x: x.cast("double") / norm)
-
-
 def _kept(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row/column indices of entries at least as large as each row's k-th largest."""
     n_cols = scores.shape[1]
