@@ -26,3 +26,23 @@ def test_build_writes_all_stages_and_reuses(spark, fx):
     build_recommendations(spark, fx.tracks, fx.catalog_names, fx.interactions, out, split=SPLIT_INSTANT,
                           mode="ignore", **small)
     assert os.path.getmtime(os.path.join(out, "events")) == before
+
+
+def test_serve_answers_requests_from_built_artifacts(spark, fx):
+    from pyspark.sql import functions as F
+
+    from cadenza.operators import serving
+    from cadenza.plans.serve import serve
+    out = tempfile.mkdtemp(prefix="cadenza-serve-test-")
+    small = {"als_params": {"rank": 8, "max_iter": 3}, "ranker_params": {"max_iter": 3, "depth": 3}}
+    build_recommendations(spark, fx.tracks, fx.catalog_names, fx.interactions, f"{out}/built",
+                          split=SPLIT_INSTANT, **small)
+    recent = serving.last_events(fx.online_events)
+    res = serve(spark, f"{out}/built", fx.requests, recent, f"{out}/answers")
+    n_requests = fx.requests.count()
+    counts = {r.source: r.requests for r in res["source_counts"].collect()}
+    assert sum(counts.values()) == n_requests
+    for name in ("offline", "online", "blended"):
+        stats = res[name].groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("m")).collect()
+        assert all(r.n == r.m <= 10 for r in stats), name
+    assert res["offline"].select("user_id").distinct().count() > 0
