@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # keyed streaming state (one row per user) lives in RocksDB, off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
