@@ -3,7 +3,9 @@
 
 A request is a row ``(user_id, k)``; a list answer is rows ``(user_id, pos, item_id)`` with
 ``pos`` dense from 1, so list order is data, never row order. One job answers every
-request with one scan of the history, instead of one lookup per request.
+request: the history is read once per list for all requests together (identical history
+subplans of the offline and online lists can be reused by AQE), instead of one lookup
+per request.
 
 Requests are assumed to be one row per user.
 """
@@ -24,9 +26,6 @@ OVERFETCH = 2
 RECENT_FOR_ONLINE = 3
 ONLINE_KEEP = 10
 
-LIST_COLUMNS = ["user_id", "pos", "item_id"]
-
-
 def seen_items(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Distinct ``(user_id, item_id)`` of the history, optionally only for ``users``.
 

@@ -12,9 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cadenza.operators import serving
 from cadenza.plans.oracles import BASE
 from cadenza.session import checkpoint_dir
 from cadenza.sources.fixtures import Fixture
