@@ -26,6 +26,13 @@ OVERFETCH = 2
 RECENT_FOR_ONLINE = 3
 ONLINE_KEEP = 10
 
+def checked_requests(requests: DataFrame) -> DataFrame:
+    """``user_id, k`` with ``k >= 1`` enforced inside the plan (a bad row fails the job)."""
+    valid = F.col("k").isNotNull() & (F.col("k") >= 1)
+    return requests.select("user_id", F.when(valid, F.col("k"))
+                           .otherwise(F.raise_error(F.lit("request k must be >= 1"))).cast("int").alias("k"))
+
+
 def seen_items(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """Distinct ``(user_id, item_id)`` of the history, optionally only for ``users``.
 
@@ -70,7 +77,7 @@ def offline_candidates(requests: DataFrame, recs: DataFrame, top: DataFrame,
     expanded to default positions ``1..overfetch·k``, joined on ``pos`` with the broadcast
     default list (bounded by the popular list's size).
     """
-    req = requests.select("user_id", "k")
+    req = checked_requests(requests)
     personal = personal_lists(recs).withColumnRenamed("user_id", "p_user")
     joined = req.join(personal, (req.user_id == personal.p_user)
                       & (personal.pos <= F.col("k") * overfetch), "left")
@@ -134,7 +141,7 @@ def online_recs(requests: DataFrame, recent: DataFrame, similar: DataFrame, even
     or the streaming state). The list order is the pair ``(recency, neighbour rank)``;
     de-duplication keeps its minimum per item, so no per-user loop is needed.
     """
-    req = requests.select("user_id", "k")
+    req = checked_requests(requests)
     newest = (recent.filter(F.col("pos") <= n_recent).join(req, "user_id")
               .select("user_id", "k", F.col("pos").alias("recency"), F.col("item_id").alias("event_item")))
     sims = similar_lists(similar)

@@ -138,3 +138,13 @@ def test_offline_can_exclude_recent_online_items(spark):
     online_seen = spark.createDataFrame([(1, 2)], "user_id int, item_id int")
     assert lists(serving.offline_recs(req, recs, top, history))[1] == [1, 2, 3]
     assert lists(serving.offline_recs(req, recs, top, history, extra_seen=online_seen))[1] == [1, 3, 4]
+
+
+def test_requests_with_k_below_one_fail(spark):
+    import pytest
+    recs = spark.createDataFrame([(1, 5, 0.9)], "user_id int, item_id int, score double")
+    top = spark.createDataFrame([(9, 1, 1.0)], "item_id int, rank int, score double")
+    history = spark.createDataFrame([], T.EVENTS)
+    bad = spark.createDataFrame([(1, 0)], T.REQUESTS)
+    with pytest.raises(Exception, match="k must be >= 1"):
+        serving.offline_recs(bad, recs, top, history).collect()
