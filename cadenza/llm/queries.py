@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.binary_tokens import op5_token_binary
+from cadenza.llm.packing import op2_packing
+from cadenza.llm.simhash import op4_simhash
+from cadenza.llm.token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op4_simhash": op4_simhash,
     "op5_token_binary": op5_token_binary,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES: dict[str, str] = {}
