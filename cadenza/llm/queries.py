@@ -10,11 +10,13 @@ from cadenza.llm.binary_tokens import op5_token_binary
 from cadenza.llm.packing import op2_packing
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
+from cadenza.llm.winnowing import op7_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_token_binary": op5_token_binary,
+    "op7_winnowing": op7_winnowing,
     "op10_token_counts": op10_token_counts,
 }
 
