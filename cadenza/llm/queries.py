@@ -7,17 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.binary_tokens import op5_token_binary
+from cadenza.llm.chat_format import OP8_SQL, op8_chat_format
 from cadenza.llm.packing import op2_packing
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
+from cadenza.llm.url_filters import OP1_SQL, op1_url_filters
 from cadenza.llm.winnowing import op7_winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_token_binary": op5_token_binary,
     "op7_winnowing": op7_winnowing,
+    "op8_chat_format": op8_chat_format,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_url_filters": OP1_SQL,
+    "op8_chat_format": OP8_SQL,
+}
