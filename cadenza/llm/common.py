@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 10 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of whole rows whose ``column`` holds about ``max_bytes`` at most.
 
     Bounds the working memory of a vectorised step: a run has more than ``max_bytes`` only
@@ -52,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 6 << 20) -> Iter
     """
     if not batch.num_rows:
         return
-    size = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     run = np.cumsum(size.astype(np.int64)) // max_bytes
     cuts = np.flatnonzero(np.diff(run)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):

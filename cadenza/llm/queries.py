@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.binary_tokens import op5_token_binary
 from cadenza.llm.chat_format import OP8_SQL, op8_chat_format
+from cadenza.llm.decontamination import op3_decontamination
 from cadenza.llm.packing import op2_packing
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
@@ -17,6 +18,7 @@ from cadenza.llm.winnowing import op7_winnowing
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_token_binary": op5_token_binary,
     "op7_winnowing": op7_winnowing,
