@@ -12,6 +12,7 @@ from cadenza.llm.decontamination import op3_decontamination
 from cadenza.llm.packing import op2_packing
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
+from cadenza.llm.toxicity import op6_toxicity
 from cadenza.llm.url_filters import OP1_SQL, op1_url_filters
 from cadenza.llm.winnowing import op7_winnowing
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
     "op5_token_binary": op5_token_binary,
+    "op6_toxicity": op6_toxicity,
     "op7_winnowing": op7_winnowing,
     "op8_chat_format": op8_chat_format,
     "op10_token_counts": op10_token_counts,
