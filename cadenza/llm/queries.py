@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.llm.binary_tokens import op5_token_binary
 from cadenza.llm.chat_format import OP8_SQL, op8_chat_format
 from cadenza.llm.decontamination import op3_decontamination
+from cadenza.llm.language import op9_language
 from cadenza.llm.packing import op2_packing
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_winnowing": op7_winnowing,
     "op8_chat_format": op8_chat_format,
+    "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
 }
 
