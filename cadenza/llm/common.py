@@ -45,6 +45,14 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, led by as many underscores as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 10 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of whole rows whose ``column`` holds about ``max_bytes`` at most.
 

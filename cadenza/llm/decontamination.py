@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import on_workers, slices, staged, table
+from cadenza.llm.common import free_name, on_workers, slices, staged, table
 
 SHORTEST = 5
 COVERAGE = 0.6
@@ -265,9 +265,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that leak an item."""
-    out = "leaks"
-    while out in docs.columns:
-        out = "_" + out
+    out = free_name(docs, "leaks")
     return with_leaks(docs, benchmark, out, **options).where(F.size(out) == 0).drop(out)
 
 

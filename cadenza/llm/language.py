@@ -239,13 +239,16 @@ def labelled_sample(docs: DataFrame, per_language: int = SAMPLE) -> tuple[list[s
     return [r.text for r in rows], [r.lang for r in rows]
 
 
-def with_languages(docs: DataFrame, model: Model | None, words: bool = False, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (they replace columns of these names), and with
-    ``words`` also ``labels``: array<struct<word, language, p>> of the lower-cased words in order."""
+def with_languages(docs: DataFrame, model: Model | None, words: bool = False, text: str = "text",
+                   out: tuple[str, str, str] = ("lang_pred", "score", "labels")) -> DataFrame:
+    """``docs`` with the language and its score in the first two of the ``out`` columns, and with
+    ``words`` in the third array<struct<word, language, p>> of the lower-cased words in order.
+    The names must be new to ``docs``."""
     spark = docs.sparkSession
     on_workers(spark)
-    new = ["lang_pred", "score", *["labels"] * words]
-    docs = docs.drop(*new)
+    new = list(out[:2 + words])
+    if set(new) & set(docs.columns):
+        raise ValueError(f"documents already have one of {new}")
     shared = spark.sparkContext.broadcast(model)
     labels = "array<struct<word: string, language: string, p: double>>"
 
@@ -276,9 +279,9 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
                     columns.append(pa.array(own, pa.list_(pa.struct([("word", pa.string()), ("language", pa.string()), ("p", pa.float64())]))))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *new])
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())]
     if words:
-        fields.append(T.StructField("labels", T.DataType.fromDDL(labels)))
+        fields.append(T.StructField(out[2], T.DataType.fromDDL(labels)))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 

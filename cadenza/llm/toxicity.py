@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.llm.common import is_held_out, on_workers, ragged, slices, table
 from cadenza.llm.subwords import char_ngrams, distinct_words
@@ -178,12 +179,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] =
 
 
 def with_toxicity(docs: DataFrame, model: Model | None, out: str = "score", text: str = "text") -> DataFrame:
-    """``docs`` with ``out``: the toxicity of the whole text, 0 to 1 (replaces a column of that name)."""
-    from pyspark.sql import types as T
-
+    """``docs`` with ``out`` (a new name): the toxicity of the whole text, 0 to 1."""
     spark = docs.sparkSession
     on_workers(spark)
-    docs = docs.drop(out) if out != text else docs
+    if out in docs.columns:
+        raise ValueError(f"documents already have a column {out!r}")
     leaning = model.leaning().astype(np.float32) if model else None
     shared = spark.sparkContext.broadcast((leaning, float(model.bias[1] - model.bias[0]) if model else 0.0))
 

@@ -1,12 +1,69 @@
-"""The training-data pipeline: STAGES over `documents`, each written as Parquet and reread."""
+"""The training-data pipeline: five stages over ``documents``, each written as Parquet and reread.
+
+language            documents whose words speak for none of the learned languages go
+toxicity            documents scored as toxic go
+near duplicates     of each group linked by SimHash one document stays
+decontamination     documents that leak a benchmark item go
+packing             what is left is packed into sequences of 4096 tokens
+
+A stage reads nothing but its predecessor's rows and the side tables it names, and keeps their
+columns; models are learned from the rows it is given. Empty and null texts have no language
+and leave at the first stage; a missing or one-sided label table makes no document toxic.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadenza.llm import decontamination, language, packing, simhash, toxicity
+from cadenza.llm.common import free_name, staged, table
+
+MIN_LANGUAGE_SCORE = 0.35  # a mean posterior below says that no learned language fits
+TOKENIZER = "word_bpe_49k.json"
+END_ID, SEQUENCE = 2, 4096
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages."""
+    name, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = language.with_languages(docs, language.fitted(docs), out=(name, score, ""))
+    return found.where((F.col(name) != language.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold."""
+    score = free_name(docs, "toxicity")
+    model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_toxicity(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component (four-word shingles, 4 bits)."""
+    return simhash.one_of_each(docs, bits=4, words=4)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequence and offset."""
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), END_ID, SEQUENCE)
+    return packing.pack(pieces, SEQUENCE)
+
 
-from cadenza.llm.common import staged, table
+STAGES = [
+    ("language", language_stage),
+    ("toxicity", toxicity_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: SQL can't state the learned and iterative stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
