@@ -1,8 +1,8 @@
 """Packing of tokenised documents into sequences, as a cutting-stock problem.
 
 Documents are cut every ``length`` tokens; what remains of each is a piece of 1 to
-``length`` tokens. Piece lengths, rounded up to ``unit`` tokens, form a histogram of at most
-``length / unit`` classes: the demands of a cutting-stock problem whose stock is the
+``length`` tokens. Piece lengths, rounded up to the width of a length class, form a histogram of about
+``CLASSES`` classes: the demands of a cutting-stock problem whose stock is the
 sequence. The driver solves its linear program over that histogram (whose size does not
 depend on the data) by column generation: a basis of patterns, and a knapsack dynamic
 program that prices the pattern to enter. The solution is rounded down, the few pieces left
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import on_workers, ragged, slices, staged, table
 from cadenza.llm.tokens import encoder
 
-UNIT = 8          # tokens per length class
+CLASSES = 512     # length classes of a sequence, about
 GAP = 5e-4        # the linear program stops this close to its proven bound
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -197,7 +197,7 @@ def ranked(pieces: DataFrame, keys: list[str]) -> DataFrame:
             .withColumn("rank", F.col("row") - F.col("first_row") + F.col("base")).drop("task", "row", "first_row", "base"))
 
 
-def pack(pieces: DataFrame, length: int, unit: int = UNIT, gap: float = GAP) -> DataFrame:
+def pack(pieces: DataFrame, length: int, classes: int = CLASSES, gap: float = GAP) -> DataFrame:
     """``pieces`` (columns doc_id, start, length and any others) with sequence_id and offset.
 
     Every row goes to exactly one place; a sequence's rows follow each other from offset 0
@@ -205,8 +205,10 @@ def pack(pieces: DataFrame, length: int, unit: int = UNIT, gap: float = GAP) ->
     """
     spark = pieces.sparkSession
     on_workers(spark)
+    unit = max(1, length // classes)  # tokens per class
     capacity = length // unit
-    rows = staged(pieces.withColumn("cls", F.ceil(F.col("length") / unit).cast("int")), "pieces")
+    cls = F.least(F.ceil(F.col("length") / unit), F.lit(capacity)).cast("int")  # the longest pieces fill a sequence
+    rows = staged(pieces.withColumn("cls", cls), "pieces")
     plan = plan_patterns({r.cls: r["count"] for r in rows.groupBy("cls").count().collect()}, capacity, gap)
     shared = spark.sparkContext.broadcast(plan)
     fields = [f for f in rows.schema.fields if f.name != "cls"]

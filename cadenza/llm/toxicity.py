@@ -12,6 +12,8 @@ scores as its most toxic window; an empty text is one empty bag. Training follow
 reading: the first rounds take a random window of each text, the later ones its most toxic
 window under the model so far (in a clean text, the one that most needs to be learned as
 clean). Classes are weighted so that toxic texts count at least half as much as clean ones.
+A logistic curve turns logits into scores: fitted on every ``CALIBRATION``-th row, with logits
+of a first training without these rows and the classes as frequent as among all labelled rows.
 
 Because the model is linear after averaging, a word contributes one number; scoring a batch
 computes that number once per distinct word and then sums, so it needs no shuffle and little
@@ -39,11 +41,12 @@ BUCKETS, DIMENSIONS = 1 << 17, 8
 SIZES = range(3, 7)
 WINDOW = 32
 THRESHOLD = 0.3
-SAMPLE = {1: 1500, 0: 2500}  # labelled rows of each class that are learned from, at most
-SAMPLE_CHARS = 20_000        # longer texts are not learned from (they are scored whole)
-ROUNDS, RANDOM_ROUNDS, BATCH, RATE = 9, 3, 64, 0.1
+SAMPLE = {1: 2500, 0: 4500}  # labelled rows of each class that are learned from, at most
+SAMPLE_CHARS = 6_000         # longer texts are not learned from (they are scored whole)
+ROUNDS, RANDOM_ROUNDS, BATCH, RATE = 9, 3, 64, 0.3
 DECAY = 1e-3                 # pull of the touched parameters towards zero
-STEPS = 450                  # at least so many batches are learned from, in more rounds if need be
+CALIBRATION = 5
+STEPS = 600                  # at least so many batches are learned from, in more rounds if need be
 
 
 @dataclass
@@ -51,6 +54,15 @@ class Model:
     embeddings: np.ndarray  # buckets x dimensions
     softmax: np.ndarray     # dimensions x 2
     bias: np.ndarray        # 2
+    slope: float = 1.0      # of the curve from logits to scores
+    shift: float = 0.0
+
+    def score(self, logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * logits + self.shift, -60, 60)))
+
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        words, codes, bounds = distinct_words(texts)
+        return text_logits(word_values(words, self.leaning()), codes, bounds, float(self.bias[1] - self.bias[0]))
 
     def leaning(self) -> np.ndarray:
         """What each bucket adds to the toxic logit, against the clean one."""
@@ -106,7 +118,37 @@ def text_logits(values: np.ndarray, codes: np.ndarray, bounds: np.ndarray, bias:
     return np.maximum.reduceat(logits, np.flatnonzero(np.diff(text, prepend=-1)))
 
 
-def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
+def calibrate(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve that best gives ``y``, by Newton's method. Targets
+    stay off 0 and 1 by what one more row of each class would say, so the curve stays finite."""
+    n = np.array([(y == 0).sum(), (y == 1).sum()])
+    target = np.where(y == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    x = np.stack([logits, np.ones_like(logits)], 1)
+    curve = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ curve, -60, 60)))
+        slope = x.T @ (weight * (p - target)) + 1e-3 * (curve - [1, 0])
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), slope)
+        curve = curve - step * min(1.0, 5 / np.abs(step).max())
+    return (float(curve[0]), float(curve[1])) if curve[0] > 0 else (1.0, 0.0)
+
+
+def fit(texts: list[str], labels: list[int], seed: int = 0, frequency: dict[int, float] | None = None) -> Model:
+    """The model of labelled texts; ``frequency`` weights the classes in its calibration."""
+    y = np.array(labels, np.int64)
+    kept = np.random.default_rng(seed).permutation(len(y))[::CALIBRATION]
+    rest = np.setdiff1d(np.arange(len(y)), kept)
+    if min(np.bincount(y[kept], minlength=2)) < 5:
+        return train(texts, labels, seed)
+    held = train([texts[i] for i in rest], y[rest].tolist(), seed)
+    weight = np.ones(len(kept)) if frequency is None else np.array([frequency[c] / (y == c).sum() for c in (0, 1)])[y[kept]]
+    model = train(texts, labels, seed)
+    model.slope, model.shift = calibrate(held.logits(pa.array([texts[i] for i in kept], pa.string())), y[kept],
+                                         weight * len(kept) / weight.sum())
+    return model
+
+
+def train(texts: list[str], labels: list[int], seed: int = 0) -> Model:
     """Embeddings and softmax from labelled texts, by Adagrad on weighted cross-entropy."""
     rng = np.random.default_rng(seed)
     model = Model(np.zeros((BUCKETS, DIMENSIONS)), rng.normal(0, 1, (DIMENSIONS, 2)), np.zeros(2))
@@ -165,10 +207,15 @@ def fit(texts: list[str], labels: list[int], seed: int = 0) -> Model:
     return model
 
 
+def learned_labels(labels: DataFrame, sample: dict[int, int] = SAMPLE) -> DataFrame:
+    """``doc_id, toxic`` of the labels that may be learned from."""
+    return labels.where(~is_held_out() & F.col("toxic").isin(*sample)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> tuple[list[str], list[int]]:
     """Texts and labels to learn from: of each class the rows whose ids hash lowest, outside
     the held-out quarter. As many rows as ``sample`` names reach the driver, at most."""
-    own = labels.where(~is_held_out() & F.col("toxic").isin(*sample)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    own = learned_labels(labels, sample)
     least = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     quota = F.element_at(F.create_map(*[F.lit(x) for kv in sample.items() for x in kv]), F.col("toxic"))
     fitting = docs.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", "text")
@@ -184,19 +231,13 @@ def with_toxicity(docs: DataFrame, model: Model | None, out: str = "score", text
     on_workers(spark)
     if out in docs.columns:
         raise ValueError(f"documents already have a column {out!r}")
-    leaning = model.leaning().astype(np.float32) if model else None
-    shared = spark.sparkContext.broadcast((leaning, float(model.bias[1] - model.bias[0]) if model else 0.0))
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        leaning, bias = shared.value
+        model = shared.value
         for batch in batches:
             for part in slices(batch, text):
-                if leaning is None:
-                    score = np.zeros(part.num_rows)
-                else:
-                    words, codes, bounds = distinct_words(part.column(text))
-                    top = text_logits(word_values(words, leaning), codes, bounds, bias)
-                    score = 1 / (1 + np.exp(-np.clip(top, -60, 60)))
+                score = np.zeros(part.num_rows) if model is None else model.score(model.logits(part.column(text)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, out])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
@@ -205,7 +246,9 @@ def with_toxicity(docs: DataFrame, model: Model | None, out: str = "score", text
 def fitted(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model learned from ``labels`` (doc_id, toxic) of ``docs``; None without both classes."""
     texts, y = labelled_sample(docs, labels)
-    return fit(texts, y) if len(set(y)) == 2 else None
+    if len(set(y)) < 2:
+        return None
+    return fit(texts, y, frequency={r.toxic: r["count"] for r in learned_labels(labels).groupBy("toxic").count().collect()})
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
