@@ -46,6 +46,22 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
     return df.withColumn(out, F.expr(f"array_distinct(slice(`{out}`, 1, greatest(size(`{out}`) - {window - 1}, 1)))"))
 
 
+def winnow_edit(df: DataFrame, text: str, edited: str, kept: Column, out: tuple[str, str],
+                gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """``df`` with the selections of ``text`` and of ``edited``, two texts alike in their first
+    ``kept`` code points. Windows wholly among these are gone through once for both."""
+    span = gram + window - 1
+    same, head, tail = (f"_{out[0]}_{x}" for x in ("cut", "head", "tail"))
+    df = df.withColumn(same, F.greatest(kept - (span - 1), F.lit(0)))  # the first window that an edit can change
+    df = df.withColumn(head, F.when(F.col(same) > 0, F.substring(text, F.lit(1), kept)).otherwise(""))
+    df = winnow(df, head, head + "_s", gram, window)
+    for column, name in ((text, out[0]), (edited, out[1])):
+        df = df.withColumn(tail, F.substring(column, F.col(same) + 1, F.char_length(column)))
+        df = winnow(df, tail, name, gram, window)
+        df = df.withColumn(name, F.expr(f"array_union(`{head}_s`, transform(`{name}`, v -> v - `{same}`))"))
+    return df.drop(same, head, head + "_s", tail)
+
+
 def hashes(selected: Column | str) -> Column:
     """The distinct selected hashes, without positions."""
     return F.array_distinct(F.transform(selected, lambda v: F.shiftright(v, POSITION_BITS)))
@@ -104,14 +120,15 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     beginning of the next document, with the likeness to the edited text and to that document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows, order = next_rows(docs, "doc_id", "text")
-    rows = winnow(rows, "text", "own").withColumn("own_hashes", hashes("own"))
-    rows = (rows.withColumn("next_text", F.lead("text").over(order))
-            .withColumn("next_hashes", F.lead("own_hashes").over(order)).where(~F.col("_copy")))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
+    # within the bucket: the next text first, then both selections, then the next row's
+    rows = rows.withColumn("next_text", F.lead("text").over(order))
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))
-    rows = winnow(rows.withColumn("edited", edited).withColumn("n_chars", n.cast("long")), "edited", "new")
-    rows = rows.withColumn("new_hashes", hashes("new"))
+    rows = rows.withColumn("edited", F.coalesce(edited, F.lit(""))).withColumn("n_chars", n.cast("long"))
+    rows = winnow_edit(rows, "text", "edited", n - half, ("own", "new"))
+    rows = rows.withColumn("own_hashes", hashes("own")).withColumn("new_hashes", hashes("new"))
+    rows = rows.withColumn("next_hashes", F.lead("own_hashes").over(order)).where(~F.col("_copy"))
     return rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
                        digest("own").alias("fingerprint"), digest("new").alias("edited_fingerprint"),
                        likeness("own_hashes", "new_hashes").alias("near_edited"),
