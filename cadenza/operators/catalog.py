@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.columns import distinct_keep_null
-
 # Entity types of the catalog and the list column holding each one.
 LIST_TYPES = (("albums", "album"), ("artists", "artist"), ("genres", "genre"))
 TRACK_TYPE = "track"
@@ -31,6 +29,15 @@ def _has_id(list_col: str) -> Column:
     return F.exists(F.col(list_col), lambda x: x.isNotNull())
 
 
+def _listed() -> Column:
+    return _has_id("albums") & _has_id("artists") & _has_id("genres")
+
+
+def item_ids(tracks: DataFrame) -> DataFrame:
+    """``item_id`` of the tracks that :func:`build_items` keeps, without building their lists."""
+    return tracks.filter(_listed()).select(F.col("track_id").alias("item_id"))
+
+
 def _tagger(type_: str):
     # one-argument lambda: ``transform`` passes (element, index) to two-argument ones
     return lambda x: F.struct(F.lit(type_).alias("type"), x.cast("int").alias("id"))
@@ -47,7 +54,7 @@ def build_items(tracks: DataFrame, catalog_names: DataFrame, drop_unknown: bool
     measured size allows; a hot genre id on the large side is split by AQE's skew join),
     one aggregation by ``track_id``, one left join with track names.
     """
-    guarded = tracks.filter(_has_id("albums") & _has_id("artists") & _has_id("genres"))
+    guarded = tracks.filter(_listed())
     tagged = F.concat(*[F.transform(F.col(list_col), _tagger(type_)) for list_col, type_ in LIST_TYPES])
     long = (guarded.select("track_id", F.explode(tagged).alias("e"))
             .select("track_id", F.col("e.type").alias("type"), F.col("e.id").alias("id"))
@@ -68,21 +75,6 @@ def build_items(tracks: DataFrame, catalog_names: DataFrame, drop_unknown: bool
             .select(F.col("track_id").alias("item_id"), "albums", "artists", "genres", "name"))
 
 
-def build_items_literal(tracks: DataFrame, catalog_names: DataFrame) -> DataFrame:
-    """The literal triple-explode form, kept only to test :func:`build_items` against."""
-    ex = (tracks.select("track_id", F.explode_outer("albums").alias("album_id"), "artists", "genres")
-          .select("track_id", "album_id", F.explode_outer("artists").alias("artist_id"), "genres")
-          .select("track_id", "album_id", "artist_id", F.explode_outer("genres").alias("genre_id"))
-          .dropna(subset=["album_id", "artist_id", "genre_id"]))
-    for col, type_ in (("album", "album"), ("artist", "artist"), ("genre", "genre")):
-        ex = ex.join(catalog_slice(catalog_names, type_, f"{col}_id", f"{col}_name"), f"{col}_id", "left")
-    lists = ex.groupBy("track_id").agg(distinct_keep_null(F.col("album_name")).alias("albums"),
-                                       distinct_keep_null(F.col("artist_name")).alias("artists"),
-                                       distinct_keep_null(F.col("genre_name")).alias("genres"))
-    return (lists.join(catalog_slice(catalog_names, TRACK_TYPE, "track_id", "name"), "track_id", "left")
-            .select(F.col("track_id").alias("item_id"), "albums", "artists", "genres", "name"))
-
-
 def flatten_items(items: DataFrame) -> DataFrame:
     """Items as ``(item_id, name, attribute, value)`` rows — a list-free form for comparisons."""
     parts = [items.select("item_id", "name", F.lit(c).alias("attribute"), F.explode(c).alias("value"))

@@ -1,13 +1,12 @@
 """Serving as batch jobs: offline, online and blended lists for many requests at once
 (V1-V3 V5 F4 F5 U3 U4 J13 J14 W9 A20).
 
-A request is a row ``(user_id, k)``; a list answer is rows ``(user_id, pos, item_id)`` with
-``pos`` dense from 1, so list order is data, never row order. One job answers every
-request: the history is read once per list for all requests together (identical history
-subplans of the offline and online lists can be reused by AQE), instead of one lookup
-per request.
-
-Requests are assumed to be one row per user.
+A request is a row ``(request_id, user_id, k)``; a list answer is rows ``(request_id, user_id,
+pos, item_id)`` with ``pos`` dense from 1, so list order is data, never row order. A user may
+ask any number of times, with any k; every request is answered on its own, a request without
+k by ``DEFAULT_K`` items. One job answers every request: the history is read once per list
+for all requests together (identical history subplans of the offline and online lists can
+be reused by AQE), instead of one lookup per request. ``request_id`` must be unique.
 """
 
 from __future__ import annotations
@@ -16,21 +15,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.columns import blend_arrays  # noqa: F401  (array twin of blend)
-
 from cadenza.operators.metrics import rank_recs
 from cadenza.operators.popularity import default_list
 
-# Fixed values of the original service: over-fetch 2k offline items before the history
+# Fixed values of the original service: 100 items if a request names no k; over-fetch 2k offline items before the history
 # filter; online lists come from the 3 newest online events; a user keeps 10 online events.
 OVERFETCH = 2
 RECENT_FOR_ONLINE = 3
 ONLINE_KEEP = 10
+DEFAULT_K = 100
 
 def checked_requests(requests: DataFrame) -> DataFrame:
-    """``user_id, k`` with ``k >= 1`` enforced inside the plan (a bad row fails the job)."""
-    valid = F.col("k").isNotNull() & (F.col("k") >= 1)
-    return requests.select("user_id", F.when(valid, F.col("k"))
-                           .otherwise(F.raise_error(F.lit("request k must be >= 1"))).cast("int").alias("k"))
+    """``request_id, user_id, k``: a missing k is ``DEFAULT_K``, one below 1 fails the job."""
+    k = F.coalesce(F.col("k"), F.lit(DEFAULT_K))
+    return requests.select("request_id", "user_id", F.when(k >= 1, k).otherwise(
+        F.raise_error(F.lit("request k must be >= 1"))).cast("int").alias("k"))
 
 
 def seen_items(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
@@ -51,42 +50,44 @@ def filter_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def renumber(candidates: DataFrame, order_col: str = "pos", k_col: str | None = "k") -> DataFrame:
-    """Dense positions 1.. in ``order_col`` order per user, cut to the per-row ``k``.
+    """Dense positions 1.. in ``order_col`` order per request, cut to the per-row ``k``.
 
-    The window is partitioned by user and holds at most the user's candidates.
+    The window is partitioned by request and holds at most the request's candidates.
     """
-    w = Window.partitionBy("user_id").orderBy(F.col(order_col), F.col("item_id"))
+    w = Window.partitionBy("request_id").orderBy(F.col(order_col), F.col("item_id"))
     out = candidates.withColumn("_pos", F.row_number().over(w))
     if k_col is not None:
         out = out.filter(F.col("_pos") <= F.col(k_col))
-    return out.select("user_id", F.col("_pos").alias("pos"), "item_id")
+    return out.select("request_id", "user_id", F.col("_pos").alias("pos"), "item_id")
 
 
 def personal_lists(recs: DataFrame) -> DataFrame:
-    """Per-user list of personal recommendations, score descending (ties: lower item id)."""
-    return rank_recs(recs.select("user_id", "item_id", "score")).select(
-        "user_id", F.col("rank").alias("pos"), "item_id")
+    """Per-user list of personal recommendations, score descending (ties: lower item id); the
+    stored ``rank`` is that order, where the table has it."""
+    ranked = recs if "rank" in recs.columns else rank_recs(recs.select("user_id", "item_id", "score"))
+    return ranked.select("user_id", F.col("rank").alias("pos"), "item_id")
 
 
 def offline_candidates(requests: DataFrame, recs: DataFrame, top: DataFrame,
                        overfetch: int = OVERFETCH) -> DataFrame:
     """First ``overfetch·k`` entries of the personal list, else of the default list.
 
-    Columns ``user_id, k, pos, item_id, source``. One left join of requests with personal
-    lists decides the source: a user without personal rows keeps one null row and is
-    expanded to default positions ``1..overfetch·k``, joined on ``pos`` with the broadcast
-    default list (bounded by the popular list's size).
+    Columns ``request_id, user_id, k, pos, item_id, source``. Only requesting users' personal
+    rows are read on. One left join of requests with personal lists decides the source: a
+    user without personal rows keeps one null row and is expanded to default positions
+    ``1..overfetch·k``, joined on ``pos`` with the default list.
     """
     req = checked_requests(requests)
-    personal = personal_lists(recs).withColumnRenamed("user_id", "p_user")
+    mine = recs.join(req.select("user_id").distinct(), "user_id", "left_semi")
+    personal = personal_lists(mine).withColumnRenamed("user_id", "p_user")
     joined = req.join(personal, (req.user_id == personal.p_user)
                       & (personal.pos <= F.col("k") * overfetch), "left")
     from_personal = (joined.filter(F.col("item_id").isNotNull())
-                     .select("user_id", "k", "pos", "item_id", F.lit("personal").alias("source")))
+                     .select("request_id", "user_id", "k", "pos", "item_id", F.lit("personal").alias("source")))
     fallback = (joined.filter(F.col("item_id").isNull())
-                .select("user_id", "k", F.explode(F.sequence(F.lit(1), F.col("k") * overfetch)).alias("pos")))
-    default = F.broadcast(default_list(top).select("pos", "item_id"))
-    from_default = fallback.join(default, "pos").select("user_id", "k", "pos", "item_id",
+                .select("request_id", "user_id", "k", F.explode(F.sequence(F.lit(1), F.col("k") * overfetch)).alias("pos")))
+    default = default_list(top).select("pos", "item_id")  # a table of the caller's size: no forced broadcast
+    from_default = fallback.join(default, "pos").select("request_id", "user_id", "k", "pos", "item_id",
                                                         F.lit("default").alias("source"))
     return from_personal.unionByName(from_default)
 
@@ -143,13 +144,13 @@ def online_recs(requests: DataFrame, recent: DataFrame, similar: DataFrame, even
     """
     req = checked_requests(requests)
     newest = (recent.filter(F.col("pos") <= n_recent).join(req, "user_id")
-              .select("user_id", "k", F.col("pos").alias("recency"), F.col("item_id").alias("event_item")))
+              .select("request_id", "user_id", "k", F.col("pos").alias("recency"), F.col("item_id").alias("event_item")))
     sims = similar_lists(similar)
     expanded = (newest.join(sims, newest.event_item == sims.item_id_1)
                 .filter(F.col("rank") <= F.col("k"))
-                .select("user_id", "k", F.col("item_id_2").alias("item_id"),
+                .select("request_id", "user_id", "k", F.col("item_id_2").alias("item_id"),
                         F.struct(F.col("recency"), F.col("rank")).alias("order")))
-    first = expanded.groupBy("user_id", "item_id").agg(F.min("order").alias("order"), F.first("k").alias("k"))
+    first = expanded.groupBy("request_id", "user_id", "k", "item_id").agg(F.min("order").alias("order"))
     seen = seen_items(events, requests).unionByName(
         newest.select("user_id", F.col("event_item").alias("item_id")))
     kept = filter_seen(first, seen)
@@ -157,22 +158,22 @@ def online_recs(requests: DataFrame, recent: DataFrame, similar: DataFrame, even
 
 
 def blend(offline: DataFrame, online: DataFrame, requests: DataFrame) -> DataFrame:
-    """Interleave two ranked lists per user: offline on even slots, online on odd ones for
+    """Interleave two ranked lists per request: offline on even slots, online on odd ones for
     the first ``m = min(len)`` entries of each, then the rest of the longer list; first
     occurrence of each item kept; cut to the request's ``k``.
 
     Position arithmetic (0-based index ``i`` in its own list, ``src`` 0 offline / 1 online):
     ``i < m → 2i + src``; ``i ≥ m → i + m``. The lengths come from a window partitioned by
-    user, which holds at most the user's 2k list entries.
+    request, which holds at most the request's 2k list entries.
     """
-    both = (offline.select("user_id", "pos", "item_id", F.lit(0).alias("src"))
-            .unionByName(online.select("user_id", "pos", "item_id", F.lit(1).alias("src"))))
-    w = Window.partitionBy("user_id")
+    both = (offline.select("request_id", "user_id", "pos", "item_id", F.lit(0).alias("src"))
+            .unionByName(online.select("request_id", "user_id", "pos", "item_id", F.lit(1).alias("src"))))
+    w = Window.partitionBy("request_id")
     i = F.col("pos") - 1
     m = F.least(F.count(F.when(F.col("src") == 0, 1)).over(w), F.count(F.when(F.col("src") == 1, 1)).over(w))
     slots = both.withColumn("slot", F.when(i < m, 2 * i + F.col("src")).otherwise(i + m))
-    first = slots.groupBy("user_id", "item_id").agg(F.min("slot").alias("slot"))
-    with_k = first.join(requests.select("user_id", "k"), "user_id")
+    first = slots.groupBy("request_id", "user_id", "item_id").agg(F.min("slot").alias("slot"))
+    with_k = first.join(checked_requests(requests).select("request_id", "k"), "request_id")
     return renumber(with_k, order_col="slot")
 
 

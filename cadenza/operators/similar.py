@@ -2,15 +2,14 @@
 
 Exact all-pairs top-k, done as a blocked matrix product on the executors:
 
-1. Vectors are L2-normalised with built-in array functions; zero vectors are skipped.
-2. Items are hashed into ``nb`` blocks of about ``block_size`` rows (ids are unique, so
-   blocks are even and bounded).
-3. Every unordered block pair ``(a, b)`` with ``a <= b`` becomes one group: each item row
-   is sent to the ``nb`` groups that contain its block. A group holds at most two blocks.
-4. ``applyInPandas`` multiplies the two blocks with numpy and keeps, per row and per
-   column, the candidates scoring at least the k-th best (ties included, so the cut is
-   exact); self pairs are excluded.
-5. A window partitioned by item (at most ``nb·k`` rows plus ties) keeps the final top k.
+1. Items are hashed into ``nb`` blocks of about ``block_size`` rows (ids are unique, so
+   blocks are even and bounded); zero vectors are skipped. A block is packed into one row of
+   binary columns: ids, and vectors in the element type they came in (4 bytes a float).
+2. Every unordered block pair ``(a, b)`` with ``a <= b`` becomes one group of at most two rows.
+3. ``applyInPandas`` normalises in double precision and multiplies the two blocks once, in
+   stripes; a stripe gives the top k of its rows, and the columns' top k are carried along.
+   Exactly k are kept, of equal scores the lower ids, so repeated vectors add no rows.
+4. A window partitioned by item (at most ``nb·k`` rows) keeps the final top k.
 
 Work is ``O(n²·d)`` as for any exact method; data moved is ``O(n·nb·d)``, which the block
 size trades against task memory. :func:`similar_items_lsh` is the approximate escape for
@@ -25,59 +24,91 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cadenza.functions.columns import l2_norm, l2_normalize
 from cadenza.session import ship_package
 
 # Fixed value of the original pipeline: 10 neighbours per item (11 fetched with itself).
 SIMILAR_K = 10
-DEFAULT_BLOCK = 2048
+DEFAULT_BLOCK = 8192
+STRIPE = 512
 
 OUT_SCHEMA = "item_id_1 int, item_id_2 int, score double"
+PACKED = "block int, ids binary, vectors binary"
+
+
+def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of every row, scores and ids, of equal scores those further left."""
+    if scores.shape[1] <= k:
+        return scores, np.broadcast_to(ids, scores.shape)
+    kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
+    better, tied = scores > kth, scores == kth
+    room = k - better.sum(axis=1)
+    crowded = np.flatnonzero(tied.sum(axis=1) > room)
+    tied[crowded] &= np.cumsum(tied[crowded], axis=1) <= room[crowded, None]
+    _, cols = np.nonzero(better | tied)
+    cols = cols.reshape(len(scores), k)
+    return np.take_along_axis(scores, cols, axis=1), np.take_along_axis(np.broadcast_to(ids, scores.shape), cols, axis=1)
+
+
+def _merge(best: tuple[np.ndarray, np.ndarray] | None, new: tuple[np.ndarray, np.ndarray], k: int):
+    """The k best of two per-row lists, of equal scores the lower ids."""
+    if best is None:
+        return new
+    scores, ids = (np.concatenate(x, axis=1) for x in zip(best, new))
+    order = np.lexsort((ids, -scores), axis=1)[:, :k]
+    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+
+
+def _rows(owner: np.ndarray, best: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+    scores, ids = best
+    out = pd.DataFrame({"item_id_1": np.repeat(owner, scores.shape[1]).astype("int32"), "item_id_2": ids.ravel().astype("int32"),
+                        "score": scores.ravel().astype("float64")})
+    return out[np.isfinite(out["score"])]
+
+
+def _block(row, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (ascending) and unit vectors of a packed block."""
+    ids = np.frombuffer(row.ids, "<i4")
+    v = np.frombuffer(row.vectors, dtype).reshape(len(ids), -1).astype(np.float64)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], (v / np.sqrt((v * v).sum(axis=1, keepdims=True)))[order]
+
+
+def _pair_topk(k: int, dtype: str):
+    def run(pdf):
+        blocks = [_block(r, dtype) for r in pdf.sort_values("block").itertuples()]
+        ids_l, left = blocks[0]
+        ids_r, right = blocks[-1]
+        same, out, columns = len(blocks) == 1, [], None
+        for at in range(0, len(ids_l), STRIPE):
+            own = ids_l[at:at + STRIPE]
+            s = left[at:at + STRIPE] @ right.T
+            if same:
+                s[np.arange(len(own)), at + np.arange(len(own))] = -np.inf
+            else:
+                columns = _merge(columns, _top(np.ascontiguousarray(s.T), own, k), k)
+            out.append(_rows(own, _top(s, ids_r, k)))
+        if columns is not None:
+            out.append(_rows(ids_r, columns))
+        return pd.concat(out, ignore_index=True)
+    return run
 
 
-def _kept(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row/column indices of entries at least as large as each row's k-th largest."""
-    n_cols = scores.shape[1]
-    if n_cols == 0 or k <= 0:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    kk = min(k, n_cols)
-    kth = -np.partition(-scores, kk - 1, axis=1)[:, kk - 1]
-    rows, cols = np.nonzero(scores >= kth[:, None])
-    finite = np.isfinite(scores[rows, cols])
-    return rows[finite], cols[finite]
-
-
-def _block_pair_topk(k: int, chunk: int = 1024):
+def _pack(dtype: str):
     def run(key, pdf):
-        a, b = int(key[0]), int(key[1])
-        left = pdf[pdf["block"] == a]
-        right = left if a == b else pdf[pdf["block"] == b]
-        ids_l = left["item_id"].to_numpy()
-        ids_r = right["item_id"].to_numpy()
-        vl = np.stack(left["unit"].to_numpy()) if len(left) else np.empty((0, 0))
-        vr = vl if a == b else (np.stack(right["unit"].to_numpy()) if len(right) else np.empty((0, 0)))
-        out = []
-        for start in range(0, len(ids_l), chunk):
-            s = vl[start:start + chunk] @ vr.T
-            if a == b:
-                idx = np.arange(start, start + s.shape[0])
-                s[idx - start, idx] = -np.inf
-            r, c = _kept(s, k)
-            out.append(pd.DataFrame({"item_id_1": ids_l[start + r], "item_id_2": ids_r[c], "score": s[r, c]}))
-        if a != b:
-            for start in range(0, len(ids_r), chunk):
-                s = vr[start:start + chunk] @ vl.T
-                r, c = _kept(s, k)
-                out.append(pd.DataFrame({"item_id_1": ids_r[start + r], "item_id_2": ids_l[c], "score": s[r, c]}))
-        if not out:
-            return pd.DataFrame({"item_id_1": pd.Series([], dtype="int32"),
-                                 "item_id_2": pd.Series([], dtype="int32"), "score": pd.Series([], dtype="float64")})
-        res = pd.concat(out, ignore_index=True)
-        return res.astype({"item_id_1": "int32", "item_id_2": "int32", "score": "float64"})
+        ids, vectors = pdf["item_id"].to_numpy("<i4"), np.stack(pdf["v"].to_numpy()).astype(dtype)
+        return pd.DataFrame({"block": [key[0]], "ids": [ids.tobytes()], "vectors": [vectors.tobytes()]})
     return run
 
 
+def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
+    """``item_id, v`` of the items whose vector has a length, and numpy's name of its element type."""
+    rows = vectors.select(F.col(id_col).cast("int").alias("item_id"), F.col(vec_col).alias("v"))
+    element = rows.schema["v"].dataType.elementType
+    return rows.filter(F.exists("v", lambda x: x != 0)), "<f4" if isinstance(element, T.FloatType) else "<f8"
+
+
 def top_k_per_item(pairs: DataFrame, k: int) -> DataFrame:
     """``item_id_1, item_id_2, score, rank``: per item, score descending, ties lower id first."""
     w = Window.partitionBy("item_id_1").orderBy(F.desc("score"), F.asc("item_id_2"))
@@ -92,41 +123,63 @@ def similar_items(vectors: DataFrame, k: int = SIMILAR_K, block_size: int = DEFA
     ``n_blocks`` defaults to ``ceil(count / block_size)`` (one count action).
     """
     ship_package(vectors.sparkSession)
-    unit = (vectors.select(F.col(id_col).cast("int").alias("item_id"), F.col(vec_col).alias("v"))
-            .filter(l2_norm(F.col("v")) > 0)
-            .select("item_id", l2_normalize(F.col("v")).alias("unit")))
+    usable, dtype = _usable(vectors, id_col, vec_col)
     if n_blocks is None:
-        n_blocks = max(1, math.ceil(unit.count() / block_size))
+        n_blocks = max(1, math.ceil(usable.count() / block_size))
     nb = F.lit(n_blocks)
-    blocked = unit.withColumn("block", F.pmod(F.xxhash64("item_id"), nb).cast("int"))
+    packed = (usable.withColumn("block", F.pmod(F.xxhash64("item_id"), nb).cast("int"))
+              .groupBy("block").applyInPandas(_pack(dtype), PACKED))
     # block b meets every block c: the group key is the ordered pair (min, max)
-    other = F.explode(F.sequence(F.lit(0), nb - 1)).alias("other")
-    routed = blocked.select("item_id", "unit", "block", other).select(
-        "item_id", "unit", "block",
-        F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-    pairs = routed.groupBy("a", "b").applyInPandas(_block_pair_topk(k), OUT_SCHEMA)
+    routed = packed.select("block", "ids", "vectors", F.explode(F.sequence(F.lit(0), nb - 1)).alias("other")).select(
+        "block", "ids", "vectors", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    # a group that one block alone reaches belongs to an empty block, or is the block with itself
+    pairs = (routed.groupBy("a", "b").applyInPandas(_own_or_pair(_pair_topk(k, dtype)), OUT_SCHEMA))
     return top_k_per_item(pairs, k)
 
 
-def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, bucket_length: float = 0.5,
-                      num_hash_tables: int = 4, max_distance: float = 1.0,
-                      id_col: str = "item_id", vec_col: str = "vector") -> DataFrame:
-    """Approximate neighbours: random-projection LSH on unit vectors.
+def _own_or_pair(run):
+    def group(key, pdf):
+        if key[0] != key[1] and len(pdf) < 2:  # the other block of the pair holds no item
+            return pd.DataFrame({"item_id_1": pd.Series([], dtype="int32"), "item_id_2": pd.Series([], dtype="int32"),
+                                 "score": pd.Series([], dtype="float64")})
+        return run(pdf)
+    return group
+
 
-    For unit vectors ``‖u−v‖² = 2 − 2·cos``, so Euclidean LSH candidates within
-    ``max_distance`` are scored with ``cos = 1 − d²/2``. Pairs never hashed together are
-    missed: this trades recall for sub-quadratic work.
+def hyperplane_bits(n: int, bucket: int) -> int:
+    """Bits that split ``n`` items into buckets of about ``bucket``."""
+    return max(1, math.ceil(math.log2(max(2.0, n / bucket))))
+
+
+def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int = 12, bucket: int = 512, most: int = 4096,
+                      seed: int = 42, id_col: str = "item_id", vec_col: str = "vector") -> DataFrame:
+    """Approximate neighbours by random-hyperplane LSH, in the columns of :func:`similar_items`.
+
+    An item has one bucket in each of ``tables`` tables: the sides of some hyperplanes its
+    vector lies on, as many as split the catalogue into buckets of about ``bucket`` items. In
+    a bucket, items are compared as one block. A bucket above ``most`` items (repeated
+    vectors, say) is split by item id into parts of about ``most``. Work and data grow as
+    ``n · tables``; pairs that share a bucket in no table are missed, so items may have fewer
+    than ``k`` neighbours and recall has to be measured (the query ``similar_lsh_recall``).
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    unit = vectors.select(F.col(id_col).cast("int").alias("item_id"),
-                          array_to_vector(l2_normalize(F.col(vec_col))).alias("features"))
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
-                                      bucketLength=bucket_length, numHashTables=num_hash_tables, seed=42)
-    model = lsh.fit(unit)
-    joined = model.approxSimilarityJoin(unit, unit, max_distance, distCol="dist")
-    pairs = (joined.select(F.col("datasetA.item_id").alias("item_id_1"), F.col("datasetB.item_id").alias("item_id_2"),
-                           (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"))
-             .filter(F.col("item_id_1") != F.col("item_id_2")))
-    return top_k_per_item(pairs, k)
+    ship_package(vectors.sparkSession)
+    usable, dtype = _usable(vectors, id_col, vec_col)
+    n, d = usable.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    bits = hyperplane_bits(n, bucket)
+    planes = np.random.default_rng(seed).normal(size=(d or 1, tables * bits))
+
+    def place(batches):
+        for pdf in batches:
+            side = np.stack(pdf["v"].to_numpy()).astype(np.float64) @ planes > 0 if len(pdf) else np.zeros((0, tables * bits), bool)
+            for t in range(tables):
+                key = side[:, t * bits:(t + 1) * bits] @ (1 << np.arange(bits, dtype=np.int64))
+                yield pdf.assign(key=key * tables + t)
+
+    vector = usable.schema["v"].dataType.simpleString()
+    placed = usable.mapInPandas(place, f"item_id int, v {vector}, key long")
+    sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    part = F.pmod(F.xxhash64("item_id"), F.ceil(F.coalesce("n", F.lit(1)) / most)).cast("int")
+    parted = placed.join(sizes, "key", "left").select("key", part.alias("block"), "item_id", "v")
+    pack, topk = _pack(dtype), _pair_topk(k, dtype)
+    found = parted.groupBy("key", "block").applyInPandas(lambda key, pdf: topk(pack((key[1],), pdf)), OUT_SCHEMA)
+    return top_k_per_item(found.dropDuplicates(["item_id_1", "item_id_2"]), k)

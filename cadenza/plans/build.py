@@ -14,8 +14,9 @@ back, which also cuts the lineage for the next stage):
   metrics_summary     CSV, one row per recommendation set           (E5 S10)
 
 The base may be any Hadoop URI (``s3a://``, ``abfss://``, ``hdfs://``, ``file:/``): the
-DataFrame writer is the upload (S9). ``mode="ignore"`` reuses stages already written,
-``"overwrite"`` rebuilds them (S8).
+DataFrame writer is the upload (S9). ``mode="ignore"`` reuses a finished build as a whole and
+touches nothing; where none is finished, and with ``"overwrite"``, everything is rebuilt (S8).
+``build_state`` says which it is, so that artifacts of different builds never meet.
 """
 
 from __future__ import annotations
@@ -23,32 +24,60 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import catalog, cf, clean, metrics, popularity, ranker
 from cadenza.operators.similar import similar_items
-from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, TRACKS, read_table, write_metrics_csv,
-                                    write_stage)
+from cadenza.session import job_session
+from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, TRACKS, read_metrics_csv, read_table,
+                                    write_metrics_csv, write_stage)
 
 # Fixed value of the original pipeline: the global split instant.
 REFERENCE_SPLIT = dt.datetime(2022, 12, 16)
 
 
+STAGES = ("interactions_clean", "items", "events", "top_popular", "personal_als", "similar", "recommendations")
+
+
+def finished(spark: SparkSession, base: str) -> bool:
+    """Whether ``base`` holds a build that ran to its end."""
+    try:
+        return spark.read.parquet(f"{base}/build_state").first()["state"] == "finished"
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+def artifacts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Scans of everything that a finished build has written, by name."""
+    return {**{name: spark.read.parquet(f"{base}/{name}") for name in STAGES},
+            "metrics_summary": read_metrics_csv(spark, f"{base}/metrics_summary")}
+
+
 def build_recommendations(spark: SparkSession, tracks: DataFrame, catalog_names: DataFrame,
                           interactions: DataFrame, out: str, split: dt.datetime = REFERENCE_SPLIT,
                           mode: str = "overwrite", als_params: dict | None = None,
                           ranker_params: dict | None = None, similar_block: int | None = None) -> dict[str, DataFrame]:
     """Run every stage; returns scans of the written artifacts by name."""
     base = out.rstrip("/")
-    stage: dict[str, DataFrame] = {}
+    if mode not in ("overwrite", "ignore"):
+        raise ValueError("mode is overwrite or ignore")
+    if mode == "ignore" and finished(spark, base):
+        return artifacts(spark, base)
 
     def put(name: str, df: DataFrame, **kw) -> DataFrame:
-        stage[name] = write_stage(df, f"{base}/{name}", mode=mode, **kw)
+        stage[name] = write_stage(df, f"{base}/{name}", **kw)
         return stage[name]
 
+    stage: dict[str, DataFrame] = {}
+    state = spark.createDataFrame([("building",)], "state string")
+    write_stage(state, f"{base}/build_state")
+
     put("interactions_clean", clean.clean_interactions(interactions, tracks))
     items = put("items", catalog.build_items(tracks, catalog_names))
-    events = put("events", clean.prepare_events(stage["interactions_clean"], items), sort_within=["user_id"])
+    events = put("events", clean.prepare_events(stage["interactions_clean"], items), range_by=["user_id"])
     train, test = clean.time_split(events, split)
     test_users = test.select("user_id").distinct()
 
@@ -58,17 +87,17 @@ def build_recommendations(spark: SparkSession, tracks: DataFrame, catalog_names:
     sim_kw = {"block_size": similar_block} if similar_block else {}
     put("similar", similar_items(cf.item_vectors(model, train), **sim_kw))
 
-    cands = ranker.build_candidates(personal, train)
+    cands = write_stage(ranker.build_candidates(personal, train), f"{base}/candidates")
     sampled = ranker.sample_users(cands.select("user_id").distinct())
     rank_model = ranker.fit_ranker(cands, sampled, **(ranker_params or {}))
     ranker.save_ranker(rank_model, f"{base}/models/ranker")
-    recs = put("recommendations", ranker.rank_candidates(rank_model, cands, test_users))
+    recs = put("recommendations", ranker.rank_candidates(rank_model, cands, test_users), range_by=["user_id"])
 
     summary = metrics.evaluate_many({"Top popular": popularity.popular_as_recs(top, test_users),
                                      "Personal ALS": personal, "Final ranked": recs}, train, test, items)
     write_metrics_csv(summary, f"{base}/metrics_summary")
-    stage["metrics_summary"] = summary
-    return stage
+    write_stage(spark.createDataFrame([("finished",)], "state string"), f"{base}/build_state")
+    return artifacts(spark, base)
 
 
 def main() -> None:
@@ -80,7 +109,7 @@ def main() -> None:
     parser.add_argument("--split", default=REFERENCE_SPLIT.isoformat())
     parser.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore"])
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("cadenza-build").getOrCreate()
+    spark = job_session("cadenza-build", [args.tracks, args.catalog_names, args.interactions])
     build_recommendations(
         spark, read_table(spark, args.tracks, TRACKS), read_table(spark, args.catalog_names, CATALOG_NAMES),
         read_table(spark, args.interactions, INTERACTIONS), args.out,

@@ -1,65 +1,140 @@
-"""Registered model queries (ALS, ranker, full evaluation).
+"""Registered model queries (ALS, ranker, full evaluation) and their contracts.
 
-Model outputs depend on floating-point training, so they have no SQL oracle; the driver
-checks them rows-only, and the tests check determinism, bounds and schema.
+Model outputs depend on floating-point training, so the lists themselves have no SQL oracle
+(the driver checks them rows-only). What does not depend on the numbers does: the contract
+queries state, as ``(check_name, value)`` rows, how many rows, users and ranks a result must
+have and that nothing breaks its rules, and the metrics of the popular list by value.
+
+Every query fits its models anew, once, and stores their lists before using them, so that
+the actions of one query read the stored lists.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from cadenza.operators import cf, metrics, popularity, ranker
 from cadenza.operators.similar import similar_items
+from cadenza.plans.oracles import BASE, POPULAR
 from cadenza.plans.queries import rounded
 from cadenza.sources.fixtures import Fixture
+from cadenza.sources.tables import preview, read_metrics_csv, write_metrics_csv
+
 
-_ALS_CACHE: dict[tuple[int, str], object] = {}
+def _personal(fx: Fixture) -> DataFrame:
+    return fx.stored("personal", cf.personal_recs(cf.fit_als(cf.interaction_weights(fx.train))))
 
 
-def _als_model(spark: SparkSession, sf_dir: str, fx: Fixture):
-    """One ALS fit per session and input folder (the three model queries share it)."""
-    key = (id(spark), sf_dir)
-    if key not in _ALS_CACHE:
-        _ALS_CACHE[key] = cf.fit_als(cf.interaction_weights(fx.train))
-    return _ALS_CACHE[key]
+def _final(fx: Fixture, personal: DataFrame) -> tuple[DataFrame, object, DataFrame]:
+    """Final lists, the fitted ranker and its candidates, from stored personal lists."""
+    cands = fx.stored("candidates", ranker.build_candidates(personal, fx.train))
+    model = ranker.fit_ranker(cands, ranker.sample_users(cands.select("user_id").distinct()))
+    return fx.stored("final", ranker.rank_candidates(model, cands, fx.test_users)), model, cands
 
 
 def q_als_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = Fixture(spark, sf_dir)
-    return rounded(cf.personal_recs(_als_model(spark, sf_dir, fx)))
+    return rounded(_personal(Fixture(spark, sf_dir)))
 
 
 def q_als_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    vectors = cf.item_vectors(_als_model(spark, sf_dir, fx), fx.train)
-    return rounded(similar_items(vectors))
+    return rounded(similar_items(cf.item_vectors(cf.fit_als(cf.interaction_weights(fx.train)), fx.train)))
 
 
-_RANKER_CACHE: dict[tuple[int, str], object] = {}
+def q_ranker_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = Fixture(spark, sf_dir)
+    return rounded(_final(fx, _personal(fx))[0])
 
 
-def final_recommendations(spark: SparkSession, sf_dir: str, fx: Fixture) -> DataFrame:
-    personal = cf.personal_recs(_als_model(spark, sf_dir, fx))
-    cands = ranker.build_candidates(personal, fx.train)
-    key = (id(spark), sf_dir)
-    if key not in _RANKER_CACHE:  # one ranker fit per session and input folder
-        sampled = ranker.sample_users(cands.select("user_id").distinct())
-        _RANKER_CACHE[key] = ranker.fit_ranker(cands, sampled)
-    return ranker.rank_candidates(_RANKER_CACHE[key], cands, fx.test_users)
+def _sets(fx: Fixture, personal: DataFrame, final: DataFrame) -> dict[str, DataFrame]:
+    return {"Top popular": popularity.popular_as_recs(fx.top_popular, fx.test_users),
+            "Personal ALS": personal, "Final ranked": final}
 
 
-def q_ranker_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return rounded(final_recommendations(spark, sf_dir, fx))
+    personal = _personal(fx)
+    return rounded(metrics.evaluate_many(_sets(fx, personal, _final(fx, personal)[0]), fx.train, fx.test, fx.items))
 
 
-def q_evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def checks(df: DataFrame, **values: Column) -> DataFrame:
+    """One aggregate per name, as ``(check_name, value)`` rows."""
+    wide = df.agg(*[F.coalesce(v, F.lit(0)).cast("double").alias(n) for n, v in values.items()])
+    return wide.unpivot([], list(values), "check_name", "value")
+
+
+def list_checks(lists: DataFrame, owner: str, item: str, known_items: DataFrame, prefix: str) -> DataFrame:
+    """Rows, owners, ranks that are not 1, 2, ..., scores that rise, items unknown to train, repeated items."""
+    order = Window.partitionBy(owner).orderBy("rank")
+    known = known_items.select(F.col("item_id").alias(item)).distinct().withColumn("known", F.lit(True))
+    rows = (lists.join(known, item, "left").withColumn("n", F.row_number().over(order))
+            .withColumn("before", F.lag("score").over(order)))
+    wrong = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    out = checks(rows, rows=F.count(F.lit(1)), owners=F.count_distinct(owner), bad_ranks=wrong(F.col("rank") != F.col("n")),
+                 rising_scores=wrong(F.col("score") > F.col("before")), unknown_items=wrong(F.col("known").isNull()),
+                 repeated=F.count(F.lit(1)) - F.count_distinct(owner, item))
+    return out.select(F.concat(F.lit(prefix), "check_name").alias("check_name"), "value")
+
+
+def q_als_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal lists: 50 items for every trained user. Similar items: 10 others for every trained item."""
     fx = Fixture(spark, sf_dir)
-    personal = cf.personal_recs(_als_model(spark, sf_dir, fx))
-    sets = {"Top popular": popularity.popular_as_recs(fx.top_popular, fx.test_users),
-            "Personal ALS": personal,
-            "Final ranked": final_recommendations(spark, sf_dir, fx)}
-    return rounded(metrics.evaluate_many(sets, fx.train, fx.test, fx.items))
+    model = cf.fit_als(cf.interaction_weights(fx.train))
+    similar = fx.stored("similar", similar_items(cf.item_vectors(model, fx.train)))
+    selves = checks(similar, self_pairs=F.sum(F.when(F.col("item_id_1") == F.col("item_id_2"), 1).otherwise(0)))
+    return (list_checks(fx.stored("personal", cf.personal_recs(model)), "user_id", "item_id", fx.train, "personal_")
+            .unionByName(list_checks(similar, "item_id_1", "item_id_2", fx.train, "similar_")).unionByName(selves))
+
+
+def q_ranker_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final lists, a reloaded ranker against the fitted one, and the evaluation read back from CSV:
+    the popular list's metrics by value, the others within their bounds."""
+    fx = Fixture(spark, sf_dir)
+    personal = _personal(fx)
+    final, model, cands = _final(fx, personal)
+    path = fx.folder("ranker")
+    ranker.save_ranker(model, path)
+    again = ranker.rank_candidates(ranker.load_ranker(path), cands, fx.test_users)
+    differ = checks(final.exceptAll(again).unionByName(again.exceptAll(final)), reloaded_differs=F.count(F.lit(1)))
+    csv = fx.folder("metrics")
+    write_metrics_csv(metrics.evaluate_many(_sets(fx, personal, final), fx.train, fx.test, fx.items), csv)
+    back = read_metrics_csv(spark, csv)
+    names = ["precision", "recall", "coverage", "novelty"]
+    popular = back.where("model = 'Top popular'").unpivot([], names, "check_name", "value").select(
+        F.concat(F.lit("popular_"), "check_name").alias("check_name"), F.round("value", 6).alias("value"))
+    out_of_bounds = F.sum(F.when(F.least(*names).isNull() | (F.least(*names) < 0) | (F.greatest(*names) > 1), 1).otherwise(0))
+    return (list_checks(final, "user_id", "item_id", fx.train, "final_").unionByName(differ).unionByName(popular)
+            .unionByName(checks(back, models=F.count(F.lit(1)), out_of_bounds=out_of_bounds)))
+
+
+def q_final_rank_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final order on a score without training that ties a lot: plays of the item, in tens."""
+    fx = Fixture(spark, sf_dir)
+    cands = ranker.build_candidates(fx.nation_recs, fx.train)
+    return rounded(ranker.final_ranks(cands.withColumn("score", F.floor(F.col("item_plays") / 10).cast("double"))))
+
+
+def q_sampled_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the users with candidates: how many, how many different, how many of them known."""
+    fx = Fixture(spark, sf_dir)
+    users = fx.nation_recs.select("user_id").distinct()
+    sample = fx.stored("sample", ranker.sample_users(users, users.count() // 3))
+    return checks(sample.join(users.withColumn("known", F.lit(1)), "user_id", "left"), users=F.count(F.lit(1)),
+                  distinct_users=F.count_distinct("user_id"), known=F.sum("known"))
+
+
+def q_stage_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored stage: kept as it is by mode ``ignore``, replaced by ``overwrite``, previewed."""
+    from cadenza.sources.tables import write_stage
+    fx = Fixture(spark, sf_dir)
+    path = fx.folder("reuse")
+    first = write_stage(fx.events, path).count()
+    kept = write_stage(fx.test, path, mode="ignore").count()
+    shown = preview(spark.read.parquet(path), 5).count()
+    replaced = write_stage(fx.test, path).count()
+    return spark.createDataFrame([("first", float(first)), ("kept", float(kept)), ("preview", float(shown)),
+                                  ("replaced", float(replaced))], "check_name string, value double")
 
 
 MODEL_QUERIES = {
@@ -67,4 +142,43 @@ MODEL_QUERIES = {
     "als_similar": q_als_similar,
     "ranker_recommendations": q_ranker_recommendations,
     "evaluate_all": q_evaluate_all,
+    "als_contract": q_als_contract,
+    "ranker_contract": q_ranker_contract,
+    "final_rank_ties": q_final_rank_ties,
+    "sampled_users": q_sampled_users,
+    "stage_reuse": q_stage_reuse,
+}
+
+
+def _rows(*pairs: tuple[str, str]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{n}' AS check_name, CAST(({e}) AS DOUBLE) AS value" for n, e in pairs)
+
+
+def _list_rows(prefix: str, owner: str, n: str) -> list[tuple[str, str]]:
+    return [(f"{prefix}rows", f"SELECT count(DISTINCT {owner}) * ({n}) FROM train"),
+            (f"{prefix}owners", f"SELECT count(DISTINCT {owner}) FROM train"),
+            *((f"{prefix}{c}", "0") for c in ("bad_ranks", "rising_scores", "unknown_items", "repeated"))]
+
+
+N_ITEMS = "(SELECT count(DISTINCT item_id) FROM train)"
+SERVED = "SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM train)"
+MODEL_ORACLES = {
+    "als_contract": "WITH " + BASE + _rows(*_list_rows("personal_", "user_id", f"least(50, {N_ITEMS})"),
+                                           *_list_rows("similar_", "item_id", f"least(10, {N_ITEMS} - 1)"), ("self_pairs", "0")),
+    "ranker_contract": "WITH " + BASE + "," + POPULAR + _rows(
+        ("final_rows", f"SELECT count(*) * least(50, {N_ITEMS}) FROM ({SERVED})"), ("final_owners", f"SELECT count(*) FROM ({SERVED})"),
+        *((f"final_{c}", "0") for c in ("bad_ranks", "rising_scores", "unknown_items", "repeated")), ("reloaded_differs", "0"),
+        ("popular_precision", "SELECT round(precision, 6) FROM p_pr_summary"), ("popular_recall", "SELECT round(recall, 6) FROM p_pr_summary"),
+        ("popular_coverage", "SELECT round(coverage, 6) FROM p_coverage"), ("popular_novelty", "SELECT round(novelty, 6) FROM p_novelty"),
+        ("models", "3"), ("out_of_bounds", "0")),
+    "final_rank_ties": "WITH " + BASE + """
+SELECT user_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT r.user_id, r.item_id, CAST(p.n // 10 AS DOUBLE) AS score,
+         row_number() OVER (PARTITION BY r.user_id ORDER BY p.n // 10 DESC, r.score DESC, r.item_id) AS rank
+  FROM nation_recs r JOIN (SELECT item_id, count(*) AS n FROM train GROUP BY 1) p ON p.item_id = r.item_id)
+WHERE rank <= 50""",
+    "sampled_users": "WITH " + BASE + _rows(*((c, "SELECT count(DISTINCT user_id) // 3 FROM nation_recs")
+                                              for c in ("users", "distinct_users", "known"))),
+    "stage_reuse": "WITH " + BASE + _rows(("first", "SELECT count(*) FROM play_events"), ("kept", "SELECT count(*) FROM play_events"),
+                                          ("preview", "SELECT least(5, count(*)) FROM play_events"), ("replaced", "SELECT count(*) FROM test")),
 }

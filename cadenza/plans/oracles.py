@@ -2,10 +2,9 @@
 
 Each oracle restates the query from first principles in plain SQL over the driver's
 views (``lineitem``, ``orders``, ``part``, ``supplier``, ``nation``, ``customer``,
-``events``, ``embeddings``): the fixture definitions of FIXTURES.md are CTEs, and the
-operator's semantics are written the obvious, row-by-row way (full outer joins, all-pairs
-cosine), independent of how the Spark side computes them. Doubles are rounded to 6
-decimals and integer widths are cast to match Spark's types.
+``events``, ``embeddings``): the fixture definitions of FIXTURES.md are CTEs, metrics count
+play rows after a full outer join, blending works on whole lists, neighbours on all pairs.
+Doubles are rounded to 6 decimals and integer widths are cast to match Spark's types.
 """
 
 from __future__ import annotations
@@ -22,20 +21,18 @@ track_lists AS (
          list_sort(list(DISTINCT CAST(l.l_suppkey AS INTEGER))) AS artists,
          list_sort(list(DISTINCT s.s_nationkey) FILTER (WHERE s.s_nationkey IS NOT NULL)) AS genres
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  WHERE l.l_linenumber = 1
   GROUP BY 1),
 tracks AS (
   SELECT CAST(p.p_partkey AS INTEGER) AS track_id,
          [CAST(regexp_extract(p.p_brand, '(\d+)', 1) AS INTEGER)] AS albums,
          t.artists, t.genres
-  FROM part p LEFT JOIN track_lists t ON CAST(p.p_partkey AS INTEGER) = t.track_id
-  WHERE p.p_partkey % 50 <> 0),
+  FROM part p LEFT JOIN track_lists t ON CAST(p.p_partkey AS INTEGER) = t.track_id),
 catalog_names AS (
   SELECT CAST(p_partkey AS INTEGER) AS id, 'track' AS type, p_name AS name FROM part
   UNION ALL
   SELECT DISTINCT CAST(regexp_extract(p_brand, '(\d+)', 1) AS INTEGER), 'album', p_brand FROM part
   UNION ALL
-  SELECT CAST(s_suppkey AS INTEGER), 'artist', s_name FROM supplier WHERE s_suppkey % 10 <> 9
+  SELECT CAST(s_suppkey AS INTEGER), 'artist', s_name FROM supplier
   UNION ALL
   SELECT n_nationkey, 'genre', n_name FROM nation),
 clean AS (
@@ -102,14 +99,17 @@ popular_recs AS (
 online AS (
   SELECT CAST(user_id AS INTEGER) AS user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id,
          ts, event_id
-  FROM events WHERE event_type = 'click'),
+  FROM events),
 last_events AS (
   SELECT * FROM (
     SELECT user_id,
            CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS pos,
            item_id, ts, event_id
     FROM online) WHERE pos <= 10),
-requests AS (SELECT CAST(c_custkey AS INTEGER) AS user_id, 10 AS k FROM customer),
+requests AS (
+  SELECT CAST(c_custkey * 2 AS BIGINT) AS request_id, CAST(c_custkey AS INTEGER) AS user_id, 10 AS k FROM customer
+  UNION ALL
+  SELECT c_custkey * 2 + 1, CAST(c_custkey AS INTEGER), CASE c_custkey % 4 WHEN 0 THEN 100 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 5 END FROM customer),
 seen AS (
   SELECT DISTINCT user_id, item_id FROM play_events WHERE user_id IN (SELECT user_id FROM requests)),
 unit AS (
@@ -127,96 +127,89 @@ personal AS (
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS INTEGER) AS pos
   FROM nation_recs),
 off_cands AS (
-  SELECT r.user_id, r.k, p.pos, p.item_id
+  SELECT r.request_id, r.user_id, r.k, p.pos, p.item_id
   FROM requests r JOIN personal p ON p.user_id = r.user_id AND p.pos <= 2 * r.k
   UNION ALL
-  SELECT r.user_id, r.k, d.pos, d.item_id
+  SELECT r.request_id, r.user_id, r.k, d.pos, d.item_id
   FROM requests r JOIN default_list d ON d.pos <= 2 * r.k
   WHERE r.user_id NOT IN (SELECT user_id FROM personal)),
 off_kept AS (
   SELECT c.* FROM off_cands c
   WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_id = c.user_id AND s.item_id = c.item_id)),
 offline_list AS (
-  SELECT user_id, pos, item_id FROM (
-    SELECT user_id, item_id, k,
-           CAST(row_number() OVER (PARTITION BY user_id ORDER BY pos, item_id) AS INTEGER) AS pos
+  SELECT request_id, user_id, pos, item_id FROM (
+    SELECT request_id, user_id, item_id, k,
+           CAST(row_number() OVER (PARTITION BY request_id ORDER BY pos, item_id) AS INTEGER) AS pos
     FROM off_kept) WHERE pos <= k),
 newest AS (
-  SELECT l.user_id, r.k, l.pos AS recency, l.item_id AS event_item
+  SELECT r.request_id, l.user_id, r.k, l.pos AS recency, l.item_id AS event_item
   FROM last_events l JOIN requests r ON r.user_id = l.user_id WHERE l.pos <= 3),
 on_exp AS (
-  SELECT n.user_id, n.k, s.item_id_2 AS item_id, n.recency, s.rank
+  SELECT n.request_id, n.user_id, n.k, s.item_id_2 AS item_id, n.recency, s.rank
   FROM newest n JOIN sim_top s ON s.item_id_1 = n.event_item WHERE s.rank <= n.k),
 on_first AS (
-  SELECT user_id, item_id, k, recency, rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY recency, rank) AS rn FROM on_exp)
+  SELECT request_id, user_id, item_id, k, recency, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY request_id, item_id ORDER BY recency, rank) AS rn FROM on_exp)
   WHERE rn = 1),
 on_seen AS (SELECT user_id, item_id FROM seen UNION SELECT user_id, event_item FROM newest),
 on_kept AS (
   SELECT f.* FROM on_first f
   WHERE NOT EXISTS (SELECT 1 FROM on_seen s WHERE s.user_id = f.user_id AND s.item_id = f.item_id)),
 online_list AS (
-  SELECT user_id, pos, item_id FROM (
-    SELECT user_id, item_id, k,
-           CAST(row_number() OVER (PARTITION BY user_id ORDER BY recency, rank, item_id) AS INTEGER) AS pos
+  SELECT request_id, user_id, pos, item_id FROM (
+    SELECT request_id, user_id, item_id, k,
+           CAST(row_number() OVER (PARTITION BY request_id ORDER BY recency, rank, item_id) AS INTEGER) AS pos
     FROM on_kept) WHERE pos <= k),
-both_lists AS (
-  SELECT user_id, pos, item_id, 0 AS src FROM offline_list
-  UNION ALL SELECT user_id, pos, item_id, 1 AS src FROM online_list),
-list_lens AS (
-  SELECT user_id, count(*) FILTER (WHERE src = 0) AS n_off, count(*) FILTER (WHERE src = 1) AS n_on
-  FROM both_lists GROUP BY 1),
-slots AS (
-  SELECT b.user_id, b.item_id,
-         CASE WHEN b.pos - 1 < least(l.n_off, l.n_on) THEN 2 * (b.pos - 1) + b.src
-              ELSE b.pos - 1 + least(l.n_off, l.n_on) END AS slot
-  FROM both_lists b JOIN list_lens l ON l.user_id = b.user_id),
+answers AS (
+  SELECT r.request_id, r.user_id, r.k,
+         coalesce((SELECT list(item_id ORDER BY pos) FROM offline_list o WHERE o.request_id = r.request_id), []) AS off_l,
+         coalesce((SELECT list(item_id ORDER BY pos) FROM online_list o WHERE o.request_id = r.request_id), []) AS on_l
+  FROM requests r),
+turns AS (
+  SELECT request_id, user_id, k,
+         list_concat(flatten(list_transform(range(1, least(len(off_l), len(on_l)) + 1), lambda i: [off_l[i], on_l[i]])),
+                     list_concat(off_l[len(on_l) + 1:], on_l[len(off_l) + 1:])) AS mixed
+  FROM answers),
 blended_list AS (
-  SELECT user_id, pos, item_id FROM (
-    SELECT f.user_id, f.item_id, r.k,
-           CAST(row_number() OVER (PARTITION BY f.user_id ORDER BY f.slot, f.item_id) AS INTEGER) AS pos
-    FROM (SELECT user_id, item_id, min(slot) AS slot FROM slots GROUP BY 1, 2) f
-    JOIN requests r ON r.user_id = f.user_id) WHERE pos <= k)
+  SELECT request_id, user_id, pos, item_id FROM (
+    SELECT request_id, user_id, k, item_id,
+           CAST(row_number() OVER (PARTITION BY request_id ORDER BY min(spot)) AS INTEGER) AS pos
+    FROM (SELECT request_id, user_id, k, unnest(mixed) AS item_id, unnest(range(len(mixed))) AS spot FROM turns)
+    GROUP BY request_id, user_id, k, item_id) WHERE pos <= k)
 """.replace("__SPLIT__", SPLIT)
 
 
 def metric_ctes(recs: str, p: str) -> str:
-    """Evaluation CTEs at k = 5 for the recommendation CTE ``recs``; names prefixed ``p``."""
+    """Evaluation CTEs at k = 5 for the recommendation CTE ``recs``; names prefixed ``p``.
+
+    Everything stays at the level of play rows: a play of the test period and a
+    recommendation meet in a full outer join, and the rows themselves are counted."""
     return f"""
-{p}common AS (
-  SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM {recs})),
-{p}gt AS (
-  SELECT user_id, item_id, count(*) AS test_plays FROM test
-  WHERE user_id IN (SELECT user_id FROM {p}common) AND item_id IN (SELECT item_id FROM train)
-  GROUP BY 1, 2),
-{p}pr AS (
-  SELECT user_id, item_id, score FROM (
-    SELECT user_id, item_id, score,
-           row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rn
-    FROM {recs} WHERE user_id IN (SELECT user_id FROM {p}common)) WHERE rn <= 5),
+{p}best AS (
+  SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS place FROM {recs}),
+{p}given AS (SELECT * FROM {p}best WHERE place <= 5 AND user_id IN (SELECT user_id FROM test)),
+{p}asked AS (
+  SELECT user_id, item_id FROM test
+  WHERE user_id IN (SELECT user_id FROM {recs}) AND item_id IN (SELECT item_id FROM train)),
+{p}met AS (
+  SELECT coalesce(a.user_id, g.user_id) AS user_id, coalesce(a.item_id, g.item_id) AS item_id, g.score,
+         a.user_id IS NOT NULL AS was_played, g.user_id IS NOT NULL AS was_given
+  FROM {p}asked a FULL OUTER JOIN {p}given g ON a.user_id = g.user_id AND a.item_id = g.item_id),
 {p}rel AS (
-  SELECT coalesce(g.user_id, r.user_id) AS user_id, coalesce(g.item_id, r.item_id) AS item_id,
-         CAST(coalesce(g.test_plays, 0) AS BIGINT) AS test_plays, r.score,
-         g.user_id IS NOT NULL AS gt, r.user_id IS NOT NULL AS pr,
-         CAST(CASE WHEN g.user_id IS NOT NULL AND r.user_id IS NOT NULL THEN g.test_plays ELSE 0 END AS BIGINT) AS tp,
-         CAST(CASE WHEN g.user_id IS NULL AND r.user_id IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS fp,
-         CAST(CASE WHEN g.user_id IS NOT NULL AND r.user_id IS NULL THEN g.test_plays ELSE 0 END AS BIGINT) AS fn
-  FROM {p}gt g FULL OUTER JOIN {p}pr r ON g.user_id = r.user_id AND g.item_id = r.item_id),
-{p}per_user AS (
-  SELECT user_id, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM {p}rel GROUP BY 1),
+  SELECT user_id, item_id, count(*) FILTER (WHERE was_played) AS test_plays, any_value(score) AS score,
+         bool_or(was_played) AS gt, bool_or(was_given) AS pr, count(*) FILTER (WHERE was_played AND was_given) AS tp,
+         count(*) FILTER (WHERE was_given AND NOT was_played) AS fp, count(*) FILTER (WHERE was_played AND NOT was_given) AS fn
+  FROM {p}met GROUP BY user_id, item_id),
 {p}pr_summary AS (
-  SELECT avg(coalesce(tp / nullif(tp + fp, 0), 0)) AS precision,
-         avg(coalesce(tp / nullif(tp + fn, 0), 0)) AS recall, count(*) AS users
-  FROM {p}per_user),
-{p}played AS (SELECT user_id, item_id, count(*) AS c FROM train GROUP BY 1, 2),
-{p}nov_user AS (
-  SELECT r.user_id, 1.0 - sum(coalesce(pl.c, 0)) / sum(greatest(coalesce(pl.c, 0), 1)) AS novelty
-  FROM (SELECT user_id, item_id,
-               row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rn
-        FROM {recs}) r
-  LEFT JOIN {p}played pl ON pl.user_id = r.user_id AND pl.item_id = r.item_id
-  WHERE r.rn <= 5 GROUP BY 1),
-{p}novelty AS (SELECT avg(novelty) AS novelty FROM {p}nov_user),
+  SELECT avg(coalesce(precision, 0)) AS precision, avg(coalesce(recall, 0)) AS recall, count(*) AS users FROM (
+    SELECT avg(CAST(was_played AS INTEGER)) FILTER (WHERE was_given) AS precision,
+           avg(CAST(was_given AS INTEGER)) FILTER (WHERE was_played) AS recall
+    FROM {p}met GROUP BY user_id)),
+{p}novelty AS (
+  SELECT avg(novelty) AS novelty FROM (
+    SELECT avg(CASE WHEN t.user_id IS NULL THEN 1.0 ELSE 0.0 END) AS novelty
+    FROM {p}best b LEFT JOIN train t ON t.user_id = b.user_id AND t.item_id = b.item_id
+    WHERE b.place <= 5 GROUP BY b.user_id)),
 {p}coverage AS (
   SELECT count(DISTINCT item_id) AS recommended, (SELECT count(*) FROM items) AS items,
          count(DISTINCT item_id) / (SELECT count(*) FROM items) AS coverage
@@ -303,7 +296,9 @@ UNION ALL SELECT item_id, name, 'genres', UNNEST(genres) FROM items"""),
     "time_split_ranges": _with("""
 SELECT 'train' AS split, count(*) AS rows, min(started_at) AS min_dt, max(started_at) AS max_dt FROM train
 UNION ALL SELECT 'test', count(*), min(started_at), max(started_at) FROM test"""),
-    "top_popular": _with(f"SELECT item_id, plays, users, rank, name, {_r('score', 'score')} FROM top_popular"),
+    "top_popular": _with(f"""
+SELECT item_id, plays, users, rank, name, array_to_string(genres, '|') AS genres, array_to_string(artists, '|') AS artists,
+       array_to_string(albums, '|') AS albums, {_r('score', 'score')} FROM top_popular"""),
     "popular_recs_for_test_users": _with(f"SELECT user_id, item_id, {_r('score', 'score')}, rank FROM popular_recs"),
     "interaction_weights": _with("SELECT user_id, item_id, count(*) AS plays FROM train GROUP BY 1, 2"),
     "ranking_candidates": _with(f"""
@@ -333,9 +328,10 @@ FROM p_pr_summary s, p_coverage c, p_novelty n""", POPULAR),
     "last_events": _with("SELECT user_id, pos, item_id, ts, event_id FROM last_events"),
     "seen_items": _with("SELECT user_id, item_id FROM seen"),
     "similar_topk_embeddings": _with(f"SELECT item_id_1, item_id_2, {_r('score', 'score')}, rank FROM sim_top"),
-    "offline_recs": _with("SELECT user_id, pos, item_id FROM offline_list"),
-    "online_recs": _with("SELECT user_id, pos, item_id FROM online_list"),
-    "blended_recs": _with("SELECT user_id, pos, item_id FROM blended_list"),
+    "similar_lsh_recall": "SELECT 'recall_at_least_0.9' AS check_name, 1.0::DOUBLE AS value UNION ALL SELECT 'short_items', 0.0",
+    "offline_recs": _with("SELECT request_id, user_id, pos, item_id FROM offline_list"),
+    "online_recs": _with("SELECT request_id, user_id, pos, item_id FROM online_list"),
+    "blended_recs": _with("SELECT request_id, user_id, pos, item_id FROM blended_list"),
     "served_source_counts": _with("""
 SELECT CASE WHEN r.user_id IN (SELECT user_id FROM nation_recs) THEN 'personal' ELSE 'default' END AS source,
        count(*) AS requests

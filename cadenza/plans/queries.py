@@ -2,7 +2,7 @@
 
 Each builds its inputs with :class:`cadenza.sources.fixtures.Fixture` from the driver's
 Parquet tables and runs the library's operator over the whole tables. List answers are
-returned as rows ``(user_id, pos, item_id)`` so that their order is compared; doubles are
+returned as rows ``(request_id, user_id, pos, item_id)`` so that their order is compared; doubles are
 rounded to 6 decimals, as in the SQL oracles of :mod:`cadenza.plans.oracles`.
 """
 
@@ -94,7 +94,8 @@ def q_time_split_ranges(spark, sf_dir):
 
 def q_top_popular(spark, sf_dir):
     top = Fixture(spark, sf_dir).top_popular
-    return rounded(top.select("item_id", "plays", "users", "rank", "name", "score"))
+    lists = [F.array_join(c, "|").alias(c) for c in ("genres", "artists", "albums")]
+    return rounded(top.select("item_id", "plays", "users", "rank", "name", *lists, "score"))
 
 
 def q_popular_recs_for_test_users(spark, sf_dir):
@@ -163,6 +164,23 @@ def q_similar_topk_embeddings(spark, sf_dir):
     return rounded(Fixture(spark, sf_dir).similar)
 
 
+def q_similar_lsh_recall(spark, sf_dir):
+    """Approximate against exact neighbours of all vectors: 0.9 of the pairs found or not, and
+    how many items have fewer neighbours than the exact search gives them."""
+    from cadenza.operators.similar import similar_items_lsh
+    fx = Fixture(spark, sf_dir)
+    exact = fx.stored("exact", fx.similar)
+    found = fx.stored("lsh", similar_items_lsh(fx.embeddings))
+    hits = exact.join(found.select("item_id_1", "item_id_2", F.lit(1).alias("hit")), ["item_id_1", "item_id_2"], "left")
+    got = found.groupBy("item_id_1").agg(F.count(F.lit(1)).alias("got"))
+    short = (exact.groupBy("item_id_1").agg(F.count(F.lit(1)).alias("n")).join(got, "item_id_1", "left")
+             .where(F.coalesce("got", F.lit(0)) < F.col("n")))
+    rows = [hits.agg(F.avg(F.coalesce("hit", F.lit(0))).alias("r")).select(
+                F.lit("recall_at_least_0.9").alias("check_name"), (F.col("r") >= 0.9).cast("double").alias("value")),
+            short.agg(F.lit("short_items").alias("check_name"), F.count(F.lit(1)).cast("double").alias("value"))]
+    return rows[0].unionByName(rows[1])
+
+
 def q_offline_recs(spark, sf_dir):
     fx = Fixture(spark, sf_dir)
     return serving.offline_recs(fx.requests, fx.nation_recs, fx.top_popular, fx.events)
@@ -214,6 +232,7 @@ QUERIES: dict[str, QueryFn] = {
     "last_events": q_last_events,
     "seen_items": q_seen_items,
     "similar_topk_embeddings": q_similar_topk_embeddings,
+    "similar_lsh_recall": q_similar_lsh_recall,
     "offline_recs": q_offline_recs,
     "online_recs": q_online_recs,
     "blended_recs": q_blended_recs,

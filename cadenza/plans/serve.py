@@ -13,8 +13,10 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cadenza.operators import serving
+from cadenza.session import job_session
 from cadenza.sources.tables import REQUESTS, read_table, write_stage
 
 
@@ -27,6 +29,9 @@ def serve(spark: SparkSession, built: str, requests: DataFrame, recent: DataFram
     events = spark.read.parquet(f"{base}/events")
     if recent is None:
         recent = spark.createDataFrame([], "user_id int, pos int, item_id int")
+    ids = requests.agg(F.count(F.lit(1)), F.count_distinct("request_id")).first()
+    if ids[0] != ids[1]:
+        raise ValueError("request_id has to be there and unique")
     offline = write_stage(serving.offline_recs(requests, recs, top, events), f"{dest}/offline", mode=mode)
     online = write_stage(serving.online_recs(requests, recent, similar, events), f"{dest}/online", mode=mode)
     blended = write_stage(serving.blend(offline, online, requests), f"{dest}/blended", mode=mode)
@@ -37,11 +42,11 @@ def serve(spark: SparkSession, built: str, requests: DataFrame, recent: DataFram
 def main() -> None:
     parser = argparse.ArgumentParser(description="Answer a table of recommendation requests.")
     parser.add_argument("--built", required=True, help="base URI written by cadenza.plans.build")
-    parser.add_argument("--requests", required=True, help="Parquet with user_id, k")
+    parser.add_argument("--requests", required=True, help="Parquet with request_id, user_id, k (k may be null)")
     parser.add_argument("--recent", help="Parquet with user_id, pos, item_id (newest online events)")
     parser.add_argument("--out", required=True)
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("cadenza-serve").getOrCreate()
+    spark = job_session("cadenza-serve", [args.built, args.requests])
     recent = spark.read.parquet(args.recent).select("user_id", "pos", "item_id") if args.recent else None
     serve(spark, args.built, read_table(spark, args.requests, REQUESTS), recent, args.out)
 

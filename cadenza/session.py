@@ -109,3 +109,31 @@ def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
     }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total length of the files below ``paths``, by whatever file system each names."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        total += where.getFileSystem(conf).getContentSummary(where).getLength()
+    return total
+
+
+def job_session(app: str, inputs: list[str], shuffle_per_input_byte: float = 1.0) -> SparkSession:
+    """The session of a job: the library's settings, and partitions sized by the job's inputs.
+
+    ``DEFAULT_CONF`` goes into a new session; in one that is already there the settings that
+    can still change are set. The largest shuffle is taken as ``shuffle_per_input_byte`` of the
+    inputs' size (Parquet against shuffle rows; joins of this library carry a few columns).
+    """
+    builder = SparkSession.builder.appName(app)
+    for key, value in DEFAULT_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    sized = scale_conf(int(input_bytes(spark, inputs) * shuffle_per_input_byte), spark.sparkContext.defaultParallelism)
+    for key, value in {**DEFAULT_CONF, **sized}.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark

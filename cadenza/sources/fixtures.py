@@ -6,26 +6,25 @@ given Parquet tables, so its cost grows with them and Catalyst prunes the scans.
 
 Fixed values of the fixture definitions:
   split instant            2000-07-01 00:00:00 on ``o_orderdate``
-  tracks                   parts without ``p_partkey % 50 = 0``
-  unknown artists          suppliers with ``s_suppkey % 10 = 9`` have no catalog name
-  online events            ``events`` rows with ``event_type = 'click'``, item = ``props.k``
-  requests                 every customer, k = 10
+  online events            all ``events`` rows, item = ``props.k``
+  requests                 two per customer: k = 10, and by ``c_custkey % 4`` k = none, 1, 3 or 5
   deterministic recs       top 50 items per customer nation by train plays
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cadenza.session import checkpoint_dir
 from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, ONLINE_EVENTS, REQUESTS, TRACKS,
-                                    conform)
+                                    conform, write_stage)
 
 SPLIT_INSTANT = dt.datetime(2000, 7, 1)
-DEFAULT_K = 10
 NATION_RECS_PER_USER = 50
 
 
@@ -45,18 +44,20 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as tracks: album = brand number; artists / genres = suppliers / their nations
-    over first lines. Parts never sold on a first line get null artist and genre lists."""
-    first = (table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
-             .select(F.col("l_partkey").alias("track_id"), F.col("l_suppkey").alias("s_suppkey")))
+    """Parts as tracks: album = brand number; artists / genres = suppliers of all their line
+    items / these suppliers' nations. Parts never sold get null artist and genre lists.
+
+    The pairs are made distinct before they are collected, so a part with very many line
+    items reaches its list with one row per supplier."""
+    sold = (table(spark, sf_dir, "lineitem")
+            .select(F.col("l_partkey").alias("track_id"), F.col("l_suppkey").alias("s_suppkey")).distinct())
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lists = (first.join(supplier, "s_suppkey", "left")
+    lists = (sold.join(supplier, "s_suppkey", "left")
              .groupBy("track_id")
              .agg(F.array_sort(F.collect_set(F.col("s_suppkey").cast("int"))).alias("artists"),
                   F.array_sort(F.collect_set(F.col("s_nationkey").cast("int"))).alias("genres")))
-    part = (table(spark, sf_dir, "part").filter(F.col("p_partkey") % 50 != 0)
-            .select(F.col("p_partkey").alias("track_id"),
-                    F.array(F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")).alias("albums")))
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("track_id"), F.array(F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")).alias("albums"))
     return conform(part.join(lists, "track_id", "left"), TRACKS)
 
 
@@ -66,23 +67,25 @@ def catalog_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p_name").alias("name"))
     album = part.select(F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("id"),
                         F.lit("album").alias("type"), F.col("p_brand").alias("name")).distinct()
-    artist = (table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") % 10 != 9)
-              .select(F.col("s_suppkey").alias("id"), F.lit("artist").alias("type"),
-                      F.col("s_name").alias("name")))
+    artist = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.lit("artist").alias("type"), F.col("s_name").alias("name"))
     genre = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("id"), F.lit("genre").alias("type"), F.col("n_name").alias("name"))
     return conform(track.unionByName(album).unionByName(artist).unionByName(genre), CATALOG_NAMES)
 
 
 def online_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
-    return conform(ev.select("user_id", F.get_json_object("props", "$.k").alias("item_id"),
-                             "ts", "event_id"), ONLINE_EVENTS)
+    return conform(table(spark, sf_dir, "events").select(
+        "user_id", F.get_json_object("props", "$.k").alias("item_id"), "ts", "event_id"), ONLINE_EVENTS)
 
 
-def requests(spark: SparkSession, sf_dir: str, k: int = DEFAULT_K) -> DataFrame:
-    return conform(table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.lit(k).alias("k")), REQUESTS)
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two requests per customer; one of four customers leaves k out of the second."""
+    other = F.element_at(F.array(F.lit(None).cast("int"), F.lit(1), F.lit(3), F.lit(5)), (F.col("c_custkey") % 4 + 1).cast("int"))
+    both = F.explode(F.array(F.struct(F.lit(0).alias("n"), F.lit(10).alias("k")), F.struct(F.lit(1).alias("n"), other.alias("k")))).alias("r")
+    return conform(table(spark, sf_dir, "customer").select("c_custkey", both).select(
+        (F.col("c_custkey") * 2 + F.col("r.n")).alias("request_id"), F.col("c_custkey").alias("user_id"), F.col("r.k").alias("k")),
+        REQUESTS)
 
 
 def user_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +101,8 @@ def nation_recs(spark: SparkSession, sf_dir: str, train: DataFrame, users: DataF
     item id); every user in ``users`` gets its nation's top ``n`` with
     score = plays / all train plays of the nation.
 
-    Scale: the ranked list has at most ``#nations × n`` rows, so it is broadcast to the
-    users by an equi-join on the nation key; the per-nation ranking runs on the
-    ``(nation, item)`` aggregate, never on raw rows.
+    The per-nation ranking runs on the ``(nation, item)`` aggregate, never on raw rows; how the
+    ranked list meets the users is left to Spark, which broadcasts it only if it measures small.
     """
     nation = user_nation(spark, sf_dir)
     per_item = (train.join(nation, "user_id").groupBy("nation", "item_id")
@@ -109,34 +111,32 @@ def nation_recs(spark: SparkSession, sf_dir: str, train: DataFrame, users: DataF
     w = Window.partitionBy("nation").orderBy(F.desc("plays"), F.asc("item_id"))
     top = (per_item.withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= n)  # map-side WindowGroupLimit: ≤ n rows per nation per task
-           .join(F.broadcast(totals), "nation")  # one row per nation
+           .join(totals, "nation")
            .select("nation", "item_id", "rank",
                    (F.col("plays") / F.col("nation_plays")).alias("score")))
     return (users.select("user_id").join(nation, "user_id")
-            .join(F.broadcast(top), "nation")
+            .join(top, "nation")
             .select("user_id", "item_id", "score", "rank"))
 
 
 class Fixture:
     """Lazily built fixture frames and pipeline stages for one scale-factor folder.
 
-    Properties are cached as DataFrame plans, except the two stages that most queries
-    reuse in several branches — ``items`` and ``events`` — which are materialised once with
-    ``checkpoint()`` into the session's shared checkpoint folder (as the original writes
-    ``items.parquet`` and ``events.parquet``), so their branches read the stored result
-    instead of re-deriving it from the raw tables. ``materialize=False`` keeps them lazy.
+    Properties are cached as DataFrame plans, except the stages that several branches of a
+    query reuse, which are written once as Parquet below the session's shared folder and
+    scanned from there (as the original writes its tables): their readers get column pruning
+    and pushed filters, and lineage ends at files that every executor reaches.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, split: dt.datetime = SPLIT_INSTANT,
-                 materialize: bool = True):
-        self.spark, self.sf_dir, self.split, self.materialize = spark, sf_dir, split, materialize
+    def __init__(self, spark: SparkSession, sf_dir: str, split: dt.datetime = SPLIT_INSTANT):
+        self.spark, self.sf_dir, self.split = spark, sf_dir, split
+
+    def folder(self, name: str) -> str:
+        """A fresh folder below the session's shared checkpoint folder."""
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def _stored(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        from cadenza.session import checkpoint_dir
-        checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+    def stored(self, name: str, df: DataFrame) -> DataFrame:
+        return write_stage(df, self.folder(name))
 
     @cached_property
     def interactions(self) -> DataFrame:
@@ -166,12 +166,13 @@ class Fixture:
     @cached_property
     def items(self) -> DataFrame:
         from cadenza.operators.catalog import build_items
-        return self._stored(build_items(self.tracks, self.catalog_names))
+        return self.stored("items", build_items(self.tracks, self.catalog_names))
 
     @cached_property
     def events(self) -> DataFrame:
+        from cadenza.operators.catalog import item_ids
         from cadenza.operators.clean import prepare_events
-        return self._stored(prepare_events(self.clean, self.items))
+        return self.stored("events", prepare_events(self.clean, item_ids(self.tracks)))
 
     @cached_property
     def train_test(self) -> tuple[DataFrame, DataFrame]:
@@ -192,7 +193,7 @@ class Fixture:
 
     @cached_property
     def nation_recs(self) -> DataFrame:
-        return nation_recs(self.spark, self.sf_dir, self.train, self.test_users)
+        return self.stored("recs", nation_recs(self.spark, self.sf_dir, self.train, self.test_users))
 
     @cached_property
     def top_popular(self) -> DataFrame:

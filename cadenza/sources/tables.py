@@ -35,7 +35,7 @@ TOP_POPULAR = _schema(("item_id", INT), ("plays", BIGINT), ("users", BIGINT), ("
                       ("artists", T.ArrayType(STRING)), ("albums", T.ArrayType(STRING)),
                       ("score", DOUBLE))
 ONLINE_EVENTS = _schema(("user_id", INT), ("item_id", INT), ("ts", TS), ("event_id", BIGINT))
-REQUESTS = _schema(("user_id", INT), ("k", INT))
+REQUESTS = _schema(("request_id", BIGINT), ("user_id", INT), ("k", INT))
 METRICS = _schema(("model", STRING), ("precision", DOUBLE), ("recall", DOUBLE),
                   ("coverage", DOUBLE), ("novelty", DOUBLE))
 
@@ -58,14 +58,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None) -> DataFrame:
+                sort_within: list[str] | None = None, range_by: list[str] | None = None) -> DataFrame:
     """Materialise one stage as Parquet and return a scan of what was written.
 
     ``mode="ignore"`` reuses an existing result (the explicit form of "skip if the file is
     there"); ``"overwrite"`` always rebuilds, so a stale result is never picked up silently.
-    ``sort_within`` clusters rows inside each file (e.g. by ``user_id``) so that point or
-    range filters on that column skip row groups through Parquet statistics.
+    ``range_by`` deals the rows out by ranges of these columns and sorts them, so that each
+    file holds few of their values and a pushed filter on them skips whole files through
+    Parquet statistics; ``sort_within`` only clusters rows inside each file.
     """
+    if range_by:
+        df, sort_within = df.repartitionByRange(*range_by), range_by
     writer_df = df.sortWithinPartitions(*sort_within) if sort_within else df
     writer = writer_df.write.mode(mode)
     if partition_by:

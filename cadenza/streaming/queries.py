@@ -1,41 +1,38 @@
 """Registered streaming queries.
 
-Each one writes its input (derived by Spark from the driver's tables) as several Parquet
-files into a fresh folder under the session's checkpoint directory, runs the streaming
-query over them with ``availableNow`` (one file per micro-batch, so state really carries
-across batches), and returns a batch read of the sink. Their final answers equal the batch
-queries of the same data, so the batch oracles apply to them.
+Each one writes its input (derived by Spark from the driver's tables) in time order as
+Parquet files of bounded size into a fresh folder under the session's checkpoint directory,
+runs the streaming query over them with ``availableNow`` in ``MICRO_BATCHES`` micro-batches, so
+that state really carries across batches, and returns a batch read of the sink. The number
+of files, and with it the files and tasks of a micro-batch, follows the number of rows.
+Their final answers equal the batch queries of the same data, so the batch oracles apply.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.plans.oracles import BASE
-from cadenza.session import checkpoint_dir
 from cadenza.sources.fixtures import Fixture
 from cadenza.sources.tables import write_stage
 from cadenza.streaming import online
 
-SOURCE_FILES = 4
-
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex[:12]}"
+MICRO_BATCHES = 4
+ROWS_PER_FILE = 500_000
 
 
-def _write_source(df: DataFrame, path: str, order_col: str) -> None:
-    # several files in time order, so the stream sees several micro-batches
-    df.repartitionByRange(SOURCE_FILES, order_col).write.parquet(path)
+def _write_source(df: DataFrame, path: str, order_col: str) -> int:
+    """Write ``df`` in ranges of ``order_col``; returns how many files make up a micro-batch."""
+    files = max(MICRO_BATCHES, -(-df.count() // ROWS_PER_FILE))
+    df.repartitionByRange(files, order_col).write.parquet(path)
+    return -(-files // MICRO_BATCHES)
 
 
 def q_stream_last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    base = _scratch(spark, "last-events")
-    _write_source(fx.online_events, f"{base}/source", "ts")
-    q = online.run_last_events(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint")
+    base = fx.folder("stream-last-events")
+    n = _write_source(fx.online_events, f"{base}/source", "ts")
+    q = online.run_last_events(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", files_per_trigger=n)
     q.awaitTermination()
     latest = online.latest_per_user(spark.read.parquet(f"{base}/sink"))
     return online.state_as_list(latest)
@@ -43,26 +40,26 @@ def q_stream_last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stream_blended(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    base = _scratch(spark, "blended")
-    _write_source(fx.online_events, f"{base}/source", "ts")
+    base = fx.folder("stream-blended")
+    n = _write_source(fx.online_events, f"{base}/source", "ts")
     # static sides are written tables, as the build's outputs are in production: each
-    # micro-batch then reads them instead of re-deriving them from the raw tables
-    static = {name: write_stage(df, f"{base}/static/{name}")
+    # micro-batch then reads the changed users' parts of them
+    static = {name: write_stage(df, f"{base}/static/{name}", range_by=["user_id"] if "user_id" in df.columns else None)
               for name, df in (("recs", fx.nation_recs), ("top", fx.top_popular), ("similar", fx.similar),
                                ("events", fx.events), ("requests", fx.requests))}
     q = online.run_blended_refresh(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
                                    static["recs"], static["top"], static["similar"], static["events"],
-                                   static["requests"])
+                                   static["requests"], files_per_trigger=n)
     q.awaitTermination()
-    sink = spark.read.parquet(f"{base}/sink")
-    return online.latest_per_user(sink).select("user_id", "pos", "item_id")
+    online.compact(spark, f"{base}/sink", f"{base}/compacted")
+    return online.latest_per_user(spark.read.parquet(f"{base}/compacted")).select("request_id", "user_id", "pos", "item_id")
 
 
 def q_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    base = _scratch(spark, "clean")
-    _write_source(fx.interactions, f"{base}/source", "started_at")
-    q = online.run_clean(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", fx.tracks)
+    base = fx.folder("stream-clean")
+    n = _write_source(fx.interactions, f"{base}/source", "started_at")
+    q = online.run_clean(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", fx.tracks, files_per_trigger=n)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/sink").select("user_id", "track_id", "started_at")
 
@@ -76,7 +73,7 @@ STREAM_QUERIES = {
 STREAM_ORACLES = {
     "stream_last_events": "WITH " + BASE + "\nSELECT user_id, pos, item_id, ts, event_id FROM last_events",
     # only users with online events have streaming state, hence a refreshed list
-    "stream_blended": "WITH " + BASE + "\nSELECT user_id, pos, item_id FROM blended_list "
+    "stream_blended": "WITH " + BASE + "\nSELECT request_id, user_id, pos, item_id FROM blended_list "
                       "WHERE user_id IN (SELECT user_id FROM online)",
     "stream_clean": "WITH " + BASE + "\nSELECT user_id, track_id, started_at FROM clean",
 }

@@ -14,3 +14,7 @@ def lists(df: DataFrame, key: str = "user_id") -> dict:
 def ts(day: int, sec: int = 0) -> dt.datetime:
     return dt.datetime(2000, 1, day, 0, 0, sec)
 
+
+def reqs(spark, pairs):
+    """Requests from (user, k) pairs, numbered from 0."""
+    return spark.createDataFrame([(i, u, k) for i, (u, k) in enumerate(pairs)], "request_id bigint, user_id int, k int")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators import cf, ranker
-from cadenza.operators.similar import similar_items
+from cadenza.operators.similar import similar_items, similar_items_lsh
 
 
 def _brute_force(vectors: dict[int, np.ndarray], k: int) -> dict[int, list[int]]:
@@ -79,13 +79,30 @@ def test_ranker_ties_prefer_higher_als_score(spark):
     assert sorted(r.item_id for r in same.collect()) == [1, 1, 1, 2, 2, 2]  # then lower item id
 
 
-def test_similar_items_lsh_finds_most_exact_neighbours(spark, fx):
-    from cadenza.operators.similar import similar_items_lsh
+def test_repeated_vectors_give_k_rows_each(spark):
+    n, k = 5000, 3
+    same = spark.range(n).selectExpr("int(id) item_id", "array(float(1), float(2)) vector")
+    for got in (similar_items(same, k=k, block_size=2048), similar_items_lsh(same, k=k, most=1000, tables=2)):
+        rows = got.groupBy("item_id_1").agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(rows) == n and all(r.n == k for r in rows)
+    first = similar_items(same, k=k, block_size=2048).where("item_id_1 = 4000").orderBy("rank").collect()
+    assert [r.item_id_2 for r in first] == [0, 1, 2]  # of equal scores the lower ids
+
+
+def test_lsh_recall_zero_vectors_and_double_elements(spark, fx):
     exact = {(r.item_id_1, r.item_id_2) for r in similar_items(fx.embeddings, k=5).collect()}
-    approx = similar_items_lsh(fx.embeddings, k=5, bucket_length=2.0, num_hash_tables=8, max_distance=1.5)
+    approx = similar_items_lsh(fx.embeddings, k=5, bucket=128, tables=24)
     got = {(r.item_id_1, r.item_id_2) for r in approx.collect()}
-    assert got and len(got & exact) / len(exact) > 0.5
-    assert approx.filter(F.col("item_id_1") == F.col("item_id_2")).count() == 0
+    assert len(got & exact) / len(exact) >= 0.9 and all(a != b for a, b in got)
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [2.0, 0.1])], "item_id int, vector array<double>")
+    assert {(r.item_id_1, r.item_id_2) for r in similar_items_lsh(df, k=2).collect()} <= {(1, 3), (3, 1)}
+    assert similar_items_lsh(df.where("false"), k=2).count() == 0 == similar_items(df.where("false"), k=2).count()
+
+
+def test_als_blocks_follow_the_ids_not_the_cluster(spark):
+    few = spark.range(1000).selectExpr("int(id % 50) user_id", "int(id % 7) item_id", "1L plays")
+    users, items = cf.als_blocks(few, ids_per_block=10, most=16)
+    assert users in (8, 9, 10, 16) and items <= users <= 16 and cf.als_blocks(few, ids_per_block=1, most=12) == (12, max(8, 7))
 
 
 def test_item_popularity_approx_close_to_exact(spark, fx):
