@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, staged, table
+from cadenza.llm.common import on_workers, slices, staged, table
 from cadenza.llm.components import connected_components
 
 SEED = 42
@@ -69,8 +69,9 @@ def fingerprints(docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text:
 
     def run(batches):
         for batch in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(fp.view(np.int64))})
+            for part in slices(batch, "text"):
+                fp = np.fromiter((fingerprint(t.as_py(), words) for t in part.column("text")), np.uint64, part.num_rows)
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64))})
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, fp long")
@@ -189,17 +190,15 @@ def link_edges(distinct: DataFrame, bits: int, n: int) -> DataFrame:
 
     rows = distinct.mapInArrow(spread, "key long, fp long")
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
-    large = rows.join(sizes, "key")
-    parts = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(TILE)), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(F.lit(7), "fp"), parts).cast("int")
-    large = (large.select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    tiles = (rows.join(sizes, "key", "left")
+             .select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
              .select("key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1)
                      .otherwise(2).alias("side")))
-    whole = rows.join(sizes, "key", "left_anti").select(
-        "key", "fp", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
     order = ["key", "i", "j"]
-    return (whole.unionAll(large).repartition(*order).sortWithinPartitions(*order).mapInArrow(search, "a long, b long"))
+    return tiles.repartition(*order).sortWithinPartitions(*order).mapInArrow(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, doc_id: str = "doc_id",
