@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import on_workers, scratch, slices, table
-from cadenza.llm.tokens import encoder
+from cadenza.llm.tokens import SLICE, encoder
 
 MANIFEST = "shard int, dtype string, n_docs long, n_tokens long"
 NO_ID = np.iinfo(np.int64).min
@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         n_docs = n_tokens = 0
         out: dict = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 if not out:
                     out = {k: store.open_output_stream(f"{root}/.{mine}.{k}") for k in ("bin", "off", "doc")}
                     out["off"].write(np.zeros(1, "<i8").tobytes())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -35,9 +36,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 16 << 20  # texts reach Python in Arrow batches of this size, or smaller ones if so set
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers."""
+    """Make the package importable in the Python workers, and their Arrow batches small enough
+    for texts: the limit of the session is lowered to BATCH_BYTES, never raised."""
     ship_package(spark)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(limit).rstrip("b"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker runs many tasks of many stages, and what its
+    allocators keep would add up to the executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
@@ -53,7 +71,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 10 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of whole rows whose ``column`` holds about ``max_bytes`` at most.
 
     Bounds the working memory of a vectorised step: a run has more than ``max_bytes`` only
@@ -66,9 +84,13 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 10 << 20) -> Ite
     cuts = np.flatnonzero(np.diff(run)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(a, b - a)
+    give_back()
 
 
 def ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Positions of the runs ``starts[i] .. starts[i] + lengths[i]`` laid end to end."""
     total = int(lengths.sum())
-    return np.arange(total, dtype=np.int64) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    kind = np.int32 if total + int(starts.max(initial=0)) + int(lengths.max(initial=0)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((starts - (np.cumsum(lengths) - lengths)).astype(kind), lengths)
+    return at

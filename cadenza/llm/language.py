@@ -23,7 +23,6 @@ language that sorts first; repeated rows each get their row; an empty table give
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
@@ -33,19 +32,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import is_held_out, on_workers, slices, table
+from cadenza.llm.common import give_back, is_held_out, on_workers, slices, table
 from cadenza.llm.subwords import char_ngrams, distinct_words
 
 BUCKETS = 1 << 16
 SIZES = range(2, 6)
 SAMPLE = 300           # labelled rows of each language that are learned from, at most
+MOST_LANGUAGES = 100   # the most frequent ones are learned
 SAMPLE_CHARS = 10_000  # longer texts are not learned from (they are labelled whole)
 SEQUENCE, STRETCH = 64, (4, 32)
 STEPS, BATCH, RATE, DECAY = 300, 48, 0.2, 1e-4
 OWNED, SEEN = 0.9, 3   # a lexicon word: so often in one language, so often in all
 BLOCK = 128
 UNKNOWN = "und"
-has_letter = re.compile(r"[^\W\d_]").search
+
+
+def has_letter(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
 
 
 @dataclass
@@ -59,7 +62,7 @@ class Model:
 
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores (words x languages) and whether each word holds a letter; others score zero."""
-        letter = np.fromiter((has_letter(w) is not None for w in words), bool, len(words))
+        letter = np.fromiter(map(has_letter, words), bool, len(words))
         out = np.zeros((len(words), len(self.languages)))
         if len(words):
             bucket, word = char_ngrams(words, SIZES, BUCKETS)
@@ -165,7 +168,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 0) -> Model | None:
     """The model of labelled texts; None if none of them holds a letter."""
     rng = np.random.default_rng(seed)
     words, codes, bounds = distinct_words(pa.array(texts, pa.string()))
-    letter = np.fromiter((has_letter(w) is not None for w in words), bool, len(words))
+    letter = np.fromiter(map(has_letter, words), bool, len(words))
     told = [i for i in range(len(texts)) if letter[codes[bounds[i]:bounds[i + 1]]].any()]
     languages = sorted({labels[i] for i in told})
     if not languages:
@@ -186,8 +189,8 @@ def fit(texts: list[str], labels: list[str], seed: int = 0) -> Model | None:
     model = Model(languages, np.zeros((BUCKETS, k)), lexicon, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k))
 
     bucket, word = char_ngrams(words, SIZES, BUCKETS)
-    order = np.argsort(word, kind="stable")
-    bucket, grams = bucket[order], np.bincount(word, minlength=len(words))
+    bucket, grams = bucket[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
+    del word
     first = np.cumsum(grams) - grams
     owner = np.fromiter((lexicon.get(w, -1) for w in words), np.int64, len(words))
     parameters = [model.weights, model.lexicon_weights, model.transitions, model.start]
@@ -225,10 +228,12 @@ def fit(texts: list[str], labels: list[str], seed: int = 0) -> Model | None:
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: of each language the rows whose ids hash lowest,
-    outside the held-out quarter, ``per_language`` at most."""
+    """Texts and languages to learn from: of each of the MOST_LANGUAGES most frequent languages
+    the rows whose ids hash lowest, outside the held-out quarter, ``per_language`` at most."""
     fitting = docs.where(~is_held_out() & F.col("lang").isNotNull() & (F.char_length("text") <= SAMPLE_CHARS)
                          & (F.trim("text") != ""))
+    common = fitting.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    fitting = fitting.where(F.col("lang").isin([r.lang for r in common.collect()]))
     order = Window.partitionBy("lang").orderBy("h")
     chosen = (fitting.select("lang", F.xxhash64("doc_id").alias("h")).withColumn("nth", F.row_number().over(order))
               .where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("h").alias("upto")))
@@ -287,7 +292,9 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
 
 def fitted(docs: DataFrame) -> Model | None:
     """The model learned from the text and lang of ``docs`` outside the held-out quarter."""
-    return fit(*labelled_sample(docs))
+    model = fit(*labelled_sample(docs))
+    give_back()
+    return model
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:

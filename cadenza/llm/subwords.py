@@ -29,21 +29,21 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def char_ngrams(words: list[str], sizes: range, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(bucket, word)`` of every n-gram of ``<word>`` for n in ``sizes`` and of the whole word."""
+    """``(bucket, word)``, as 32-bit numbers, of every n-gram of ``<word>`` for n in ``sizes`` and of the whole word."""
     marked = [f"<{w}>" for w in words]
     length = np.fromiter(map(len, marked), np.int64, len(marked))
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    word = np.repeat(np.arange(len(marked)), length)
+    word = np.repeat(np.arange(len(marked), dtype=np.int32), length)
     h = np.zeros(len(codes), np.uint64)
     out_b, out_w = [], []
     for n in range(1, max(sizes) + 1):
         h = _mix(h[:len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1:] + np.uint64(n))
         if n in sizes:
             at = np.flatnonzero(word[:len(h)] == word[n - 1:])
-            out_b.append(h[at] % np.uint64(buckets))
+            out_b.append((h[at] % np.uint64(buckets)).astype(np.int32))
             out_w.append(word[at])
     whole = np.add.reduceat(_mix(codes * np.uint64(0xD6E8FEB86659FD93) + (np.arange(len(codes)) - np.repeat(
         np.cumsum(length) - length, length)).astype(np.uint64)), np.cumsum(length) - length) if len(words) else h
-    out_b.append(_mix(whole + np.uint64(99)) % np.uint64(buckets))
-    out_w.append(np.arange(len(words)))
-    return np.concatenate(out_b).astype(np.int64), np.concatenate(out_w)
+    out_b.append((_mix(whole + np.uint64(99)) % np.uint64(buckets)).astype(np.int32))
+    out_w.append(np.arange(len(words), dtype=np.int32))
+    return np.concatenate(out_b), np.concatenate(out_w)

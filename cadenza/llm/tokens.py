@@ -21,7 +21,10 @@ import pyarrow.compute as pc
 
 from cadenza.llm.common import ragged
 
-CACHED_PIECES = 600_000  # bound of the per-worker cache; it starts again beyond
+CACHED_PIECES = 450_000  # bound of the per-worker cache; it starts again beyond
+
+CALL = 20_000            # pieces given to the library at once, which holds much for each
+SLICE = 6 << 20          # bytes of text that are encoded at once: more, and fewer pieces are looked up
 
 
 @functools.lru_cache(maxsize=2)
@@ -83,7 +86,8 @@ class Encoder:
         if len(self.pieces) > CACHED_PIECES:
             self.pieces = {}
         new = [w for w in words if w not in self.pieces]
-        self.pieces.update(zip(new, self._bytes(new)))
+        for at in range(0, len(new), CALL):
+            self.pieces.update(zip(new[at:at + CALL], self._bytes(new[at:at + CALL])))
         return list(map(self.pieces.__getitem__, words))
 
 

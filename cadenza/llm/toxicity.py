@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import is_held_out, on_workers, ragged, slices, table
+from cadenza.llm.common import give_back, is_held_out, on_workers, ragged, slices, table
 from cadenza.llm.subwords import char_ngrams, distinct_words
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
 SIZES = range(3, 7)
 WINDOW = 32
 THRESHOLD = 0.3
-SAMPLE = {1: 2500, 0: 4500}  # labelled rows of each class that are learned from, at most
+SAMPLE = {1: 2000, 0: 3500}  # labelled rows of each class that are learned from, at most
 SAMPLE_CHARS = 6_000         # longer texts are not learned from (they are scored whole)
 ROUNDS, RANDOM_ROUNDS, BATCH, RATE = 9, 3, 64, 0.3
 DECAY = 1e-3                 # pull of the touched parameters towards zero
@@ -141,8 +141,10 @@ def fit(texts: list[str], labels: list[int], seed: int = 0, frequency: dict[int,
     if min(np.bincount(y[kept], minlength=2)) < 5:
         return train(texts, labels, seed)
     held = train([texts[i] for i in rest], y[rest].tolist(), seed)
+    give_back()
     weight = np.ones(len(kept)) if frequency is None else np.array([frequency[c] / (y == c).sum() for c in (0, 1)])[y[kept]]
     model = train(texts, labels, seed)
+    give_back()
     model.slope, model.shift = calibrate(held.logits(pa.array([texts[i] for i in kept], pa.string())), y[kept],
                                          weight * len(kept) / weight.sum())
     return model
@@ -156,13 +158,16 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Model:
     weight = np.where(y == 1, max(1.0, 0.5 * (y == 0).sum() / max(1, (y == 1).sum())), 1.0)
     words, codes, bounds = distinct_words(pa.array(texts, pa.string()))
     bucket, word = char_ngrams(words, SIZES, BUCKETS)
-    order = np.argsort(word, kind="stable")
-    bucket, grams = bucket[order], np.bincount(word, minlength=len(words))
+    bucket, grams = bucket[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
+    del word
     first = np.cumsum(grams) - grams
     text, _, _ = window_bounds(bounds)
     member, place = window_members(codes, bounds)
     order = np.argsort(member, kind="stable")
-    said, held = codes[place[order]], np.bincount(member, minlength=len(text))
+    member, said = member[order].astype(np.int32), codes[place[order]].astype(np.int32)
+    held = np.bincount(member, minlength=len(text))
+    del order, place, codes
+    give_back()
     begin = np.cumsum(held) - held
     squares = [np.full_like(p, 1e-4) for p in (model.embeddings, model.softmax, model.bias)]
 
@@ -171,9 +176,8 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Model:
         if r < RANDOM_ROUNDS:
             logits = rng.random(len(text))
         else:
-            values = np.bincount(np.repeat(np.arange(len(words)), grams), weights=model.leaning()[bucket],
-                                 minlength=len(words)) / np.maximum(grams, 1)
-            logits = np.bincount(member, weights=values[codes[place]], minlength=len(text))
+            values = np.add.reduceat(model.leaning()[bucket], first) / grams  # every word has an n-gram
+            logits = np.bincount(member, weights=values[said], minlength=len(text))
         top = np.lexsort((-logits, text))
         top = top[np.flatnonzero(np.diff(text[top], prepend=-1))]
         for part in np.array_split(rng.permutation(len(y)), batches):
