@@ -30,10 +30,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import on_workers, ragged, slices, staged, table
-from cadenza.llm.tokens import encoder
+from cadenza.llm.tokens import SLICE, encoder
 
 CLASSES = 512     # length classes of a sequence, about
-GAP = 5e-4        # the linear program stops this close to its proven bound
+GAP = 5e-4        # the linear program stops this close to a proven bound
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -45,12 +45,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int | None, length: in
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids, offsets = encoder(tokenizer).encode(part.column("text"), end_id)
                 n = np.diff(offsets)
                 cuts = -(-n // length)
                 doc = np.repeat(np.arange(len(n)), cuts)
-                start = ragged(cuts, np.zeros(len(n), np.int64)) * length
+                start = ragged(cuts, np.zeros(len(n), np.int64)).astype(np.int64) * length
                 size = np.minimum(length, n[doc] - start)
                 at = offsets[doc] + start
                 raw = [ids[a:b].astype("<u4").tobytes() for a, b in zip(at.tolist(), (at + size).tolist())]
@@ -88,16 +88,18 @@ def generate_columns(size: np.ndarray, demand: np.ndarray, capacity: int,
                      gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
     """The linear program min sum(x), patterns @ x = demand: basis patterns (columns) and x.
 
-    Starts from one-class patterns. With ``v`` the best priced value, sum(x) / v bounds the
-    optimum from below; the search ends when nothing prices above 1 or that bound is near.
+    Starts from one-class patterns. Two bounds from below are known: the room that all pieces
+    take, and sum(x) / v with ``v`` the best priced value. The search ends when nothing prices
+    above 1 or one of them is near.
     """
+    room = demand @ size / capacity
     patterns = np.diag(capacity // size).astype(float)
     inverse, x = np.diag(1 / np.diag(patterns)), demand / np.diag(patterns)
     while True:
         price = inverse.sum(axis=0)
         v, column = priced_pattern(price, size, capacity)
         total = x.sum()
-        if v <= 1 + 1e-7 or total * (1 - 1 / v) <= max(0.25, gap * total):
+        if v <= 1 + 1e-7 or total - max(total / v, room) <= max(0.25, gap * total):
             return patterns, np.maximum(x, 0)
         u = inverse @ column
         ratio = np.where(u > 1e-9, x / np.where(u > 1e-9, u, 1), np.inf)

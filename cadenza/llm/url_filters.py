@@ -136,8 +136,9 @@ def stand_in(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page, with what the lists say about it on the day of its fetch."""
-    return url_filter(*stand_in(spark, sf_dir))
+    """Every page, with what the lists say about it on the day of its fetch (days as text)."""
+    found = url_filter(*stand_in(spark, sf_dir))
+    return found.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "valid_from", "valid_to")})
 
 
 #: The same rows, said event by event: for a capture's key and list the last day with an event decides.
@@ -187,9 +188,9 @@ ranked AS (
            CASE kind WHEN 'url' THEN 4 WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END DESC,
            length(key) DESC, effect = 'block' DESC, list_id DESC, key DESC) AS nth
   FROM active)
-SELECT c.page_id, c.url, c.fetched_on, coalesce(r.effect = 'block', false) AS blocked, r.effect, r.list_id, r.kind,
-       r.key AS value, r.valid_from,
-       CASE WHEN r.key IS NULL THEN NULL ELSE coalesce(r.next_off, DATE '9999-12-31') END AS valid_to,
+SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(r.effect = 'block', false) AS blocked, r.effect, r.list_id, r.kind,
+       r.key AS value, CAST(r.valid_from AS VARCHAR) AS valid_from,
+       CASE WHEN r.key IS NULL THEN NULL ELSE coalesce(CAST(r.next_off AS VARCHAR), '9999-12-31') END AS valid_to,
        coalesce(r.n, 0) AS n_active
 FROM cap c LEFT JOIN ranked r ON c.url = r.url AND c.fetched_on = r.fetched_on AND r.nth = 1
 """
