@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, scratch, slices, table
+from cadenza.llm.common import on_workers, scratch, slices, table, task
 from cadenza.llm.tokens import SLICE, encoder
 
 MANIFEST = "shard int, dtype string, n_docs long, n_tokens long"
@@ -63,7 +63,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         name, mine = f"{root}/shard-{shard:05d}", uuid.uuid4().hex
         n_docs = n_tokens = 0
         out: dict = {}
-        for batch in batches:
+        for batch in task(batches):
             for part in slices(batch, "text", SLICE):
                 if not out:
                     out = {k: store.open_output_stream(f"{root}/.{mine}.{k}") for k in ("bin", "off", "doc")}

@@ -36,7 +36,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-BATCH_BYTES = 16 << 20  # texts reach Python in Arrow batches of this size, or smaller ones if so set
+BATCH_BYTES = 32 << 20  # texts reach Python in Arrow batches of this size, or smaller ones if so set
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -49,6 +49,12 @@ def on_workers(spark: SparkSession) -> None:
         spark.conf.set(limit, str(BATCH_BYTES))
 
 
+def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The Arrow batches of one task; what was freed on the way is given back at its end."""
+    yield from batches
+    give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system. A worker runs many tasks of many stages, and what its
     allocators keep would add up to the executor's limit."""
@@ -84,7 +90,6 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 3 << 20) -> Iter
     cuts = np.flatnonzero(np.diff(run)) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(a, b - a)
-    give_back()
 
 
 def ragged(lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:

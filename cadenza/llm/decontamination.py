@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import free_name, on_workers, slices, staged, table
+from cadenza.llm.common import free_name, on_workers, slices, staged, table, task
 
 SHORTEST = 5
 COVERAGE = 0.6
@@ -226,7 +226,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, out: str = "leaks", shorte
         shared = spark.sparkContext.broadcast(Items([tuple(r) for r in items.collect()], shortest, coverage))
 
         def judge(batches):
-            for batch in batches:
+            for batch in task(batches):
                 for part in slices(batch, text):
                     leaks = pa.array(shared.value.leaks(part.column(text).to_pylist()), LEAK_ARROW)
                     yield pa.RecordBatch.from_arrays([*part.columns, leaks], names=[*part.schema.names, out])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import give_back, is_held_out, on_workers, slices, table
+from cadenza.llm.common import give_back, is_held_out, on_workers, slices, table, task
 from cadenza.llm.subwords import char_ngrams, distinct_words
 
 BUCKETS = 1 << 16
@@ -259,7 +259,7 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in task(batches):
             for part in slices(batch, text):
                 n = part.num_rows
                 names, score, own = [UNKNOWN] * n, np.zeros(n), [[]] * n

@@ -29,23 +29,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, ragged, slices, staged, table
+from cadenza.llm.common import on_workers, ragged, slices, staged, table, task
 from cadenza.llm.tokens import SLICE, encoder
 
-CLASSES = 512     # length classes of a sequence, about
+CLASSES = 400     # length classes of a sequence, about
 GAP = 5e-4        # the linear program stops this close to a proven bound
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int | None, length: int, doc_id: str = "doc_id",
-                 text: str = "text", with_ids: bool = False) -> DataFrame:
+                 text: str = "text", with_ids: bool = False, slice_bytes: int = SLICE) -> DataFrame:
     """Encode every whole text and cut it every ``length`` tokens: PIECES, and with
-    ``with_ids`` the bytes of each piece's little-endian uint32 ids in ``ids``."""
+    ``with_ids`` the bytes of each piece's little-endian uint32 ids in ``ids``. A task encodes
+    about ``slice_bytes`` of texts at once."""
     on_workers(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
+        for batch in task(batches):
+            for part in slices(batch, "text", slice_bytes):
                 ids, offsets = encoder(tokenizer).encode(part.column("text"), end_id)
                 n = np.diff(offsets)
                 cuts = -(-n // length)
@@ -242,5 +243,6 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     import public_tokenizers
 
-    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, 4096)
+    pieces = token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, 4096,
+                          slice_bytes=2 * SLICE)
     return pack(pieces, 4096)

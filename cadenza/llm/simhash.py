@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, slices, staged, table
+from cadenza.llm.common import on_workers, slices, staged, table, task
 from cadenza.llm.components import connected_components
 
 SEED = 42
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text:
     on_workers(docs.sparkSession)
 
     def run(batches):
-        for batch in batches:
+        for batch in task(batches):
             for part in slices(batch, "text"):
                 fp = np.fromiter((fingerprint(t.as_py(), words) for t in part.column("text")), np.uint64, part.num_rows)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64))})

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, slices, table
+from cadenza.llm.common import on_workers, slices, table, task
 
 MARK = "▁"
 UNKNOWN = -10.0
@@ -109,7 +109,7 @@ def token_counts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text:
 
     def run(batches):
         trie = worker_trie(vocabulary)
-        for batch in batches:
+        for batch in task(batches):
             for part in slices(batch, "text"):
                 lists = pc.ascii_split_whitespace(part.column("text").fill_null(""))
                 flat = lists.flatten().dictionary_encode()

@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 
 from cadenza.llm.common import ragged
 
-CACHED_PIECES = 450_000  # bound of the per-worker cache; it starts again beyond
+CACHED_PIECES = 600_000  # bound of the per-worker cache; it starts again beyond
 
-CALL = 20_000            # pieces given to the library at once, which holds much for each
-SLICE = 6 << 20          # bytes of text that are encoded at once: more, and fewer pieces are looked up
+CALL = 50_000            # pieces given to the library at once, which holds much for each
+SLICE = 8 << 20          # bytes of text encoded at once by default: with more, fewer pieces are looked up
 
 
 @functools.lru_cache(maxsize=2)

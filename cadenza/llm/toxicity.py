@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import give_back, is_held_out, on_workers, ragged, slices, table
+from cadenza.llm.common import give_back, is_held_out, on_workers, ragged, slices, table, task
 from cadenza.llm.subwords import char_ngrams, distinct_words
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
@@ -239,7 +239,7 @@ def with_toxicity(docs: DataFrame, model: Model | None, out: str = "score", text
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in task(batches):
             for part in slices(batch, text):
                 score = np.zeros(part.num_rows) if model is None else model.score(model.logits(part.column(text)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, out])
