@@ -44,9 +44,11 @@ def _store(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None, shards: int | None = None,
-                      doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                      doc_id: str = "doc_id", text: str = "text", slice_bytes: int = 2 * SLICE) -> DataFrame:
     """Encode every text, write the files described above, return the manifest.
 
+    A task encodes about ``slice_bytes`` of texts at once.
+
     ``shards`` defaults to the session's shuffle partitions. The driver holds one manifest
     row per shard and nothing else.
     """
@@ -64,7 +66,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         n_docs = n_tokens = 0
         out: dict = {}
         for batch in task(batches):
-            for part in slices(batch, "text", SLICE):
+            for part in slices(batch, "text", slice_bytes):
                 if not out:
                     out = {k: store.open_output_stream(f"{root}/.{mine}.{k}") for k in ("bin", "off", "doc")}
                     out["off"].write(np.zeros(1, "<i8").tobytes())
