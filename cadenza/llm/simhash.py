@@ -30,10 +30,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import on_workers, slices, staged, table, task
+from cadenza.llm.common import free_name, on_workers, slices, staged, table, task
 from cadenza.llm.components import connected_components
 
 SEED = 42
@@ -63,18 +63,22 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` of every row (``fp``: the fingerprint's 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, words: int = 4, doc_id: str = "doc_id", text: str = "text", **longs: Column) -> DataFrame:
+    """``doc_id, fp`` of every row (``fp``: the fingerprint's 64 bits as a signed long), and the
+    ``longs`` by name."""
     on_workers(docs.sparkSession)
+    names = list(longs)
 
     def run(batches):
         for batch in task(batches):
             for part in slices(batch, "text"):
                 fp = np.fromiter((fingerprint(t.as_py(), words) for t in part.column("text")), np.uint64, part.num_rows)
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64))})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64))}
+                                                 | {c: part.column(c) for c in names})
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
+                       *(v.alias(c) for c, v in longs.items()))
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in names))
 
 
 def block_bounds(blocks: int) -> list[int]:
@@ -201,16 +205,22 @@ def link_edges(distinct: DataFrame, bits: int, n: int) -> DataFrame:
     return tiles.repartition(*order).sortWithinPartitions(*order).mapInArrow(search, "a long, b long")
 
 
+def components(rows: DataFrame, first: Column, bits: int) -> DataFrame:
+    """``fp, first_id, root`` of every distinct fingerprint: ``first`` aggregated over its rows, and
+    the fingerprint that names its component of links within ``bits`` bits."""
+    distinct = staged(rows.groupBy("fp").agg(first.alias("first_id")), "distinct")
+    edges = staged(link_edges(distinct.select("fp"), bits, distinct.count()), "links")
+    roots = staged(connected_components(edges), "roots")
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, doc_id: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id`` of every row: the component of links within ``bits`` bits,
     named by its smallest doc_id."""
     rows = staged(fingerprints(docs, words, doc_id, text), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    edges = staged(link_edges(distinct.select("fp"), bits, distinct.count()), "links")
-    roots = staged(connected_components(edges), "roots")
-    nodes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    nodes = components(rows, F.min("doc_id"), bits)
     named = nodes.join(nodes.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
     return rows.join(named.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
@@ -226,11 +236,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
-    """``docs`` with one row of each component: the one of its smallest doc_id (of rows that
-    share that id, the one whose columns hash lowest)."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    keep = (near_duplicates(docs, bits, words).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(key.alias("_key")).distinct())
-    first = Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns))
-    return (docs.withColumn("_key", key).join(keep, "_key", "left_semi")
-            .withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns))
+    """``docs`` with one row of each component: the one of its smallest doc_id, null ids last (of
+    rows that share that id, the one whose columns hash lowest).
+
+    Rows are told apart by a number of their own, not by doc_id, which may be null or repeat
+    in other components. It is written with them, so that both reads see the same numbers.
+    """
+    row = free_name(docs, "row")
+    own = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = staged(fingerprints(own, words, row=F.col(row), digest=F.xxhash64(*docs.columns)), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "row")
+    keep = components(rows, F.min(first), bits).groupBy("root").agg(F.min("first_id").alias("first_id"))
+    return own.join(keep.select(F.col("first_id.row").alias(row)), row, "left_semi").select(*docs.columns)

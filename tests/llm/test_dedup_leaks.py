@@ -100,6 +100,18 @@ def test_one_of_each_keeps_whole_rows(spark):
     assert simhash.one_of_each(df.where("false")).count() == 0
 
 
+def test_one_of_each_keeps_a_row_of_every_component(spark):
+    """Null and repeated doc_ids name no group: each component keeps its smallest id, null last."""
+    t = [" ".join(random.Random(i).choices([f"v{j}" for j in range(500)], k=30)) for i in range(9)]
+    rows = [(None, t[0]), (None, t[1]), (None, t[2]), (None, t[2]),    # unrelated texts without an id, one of them twice
+            (5, t[3]), (5, t[4]),                                      # one id for two texts
+            (1, t[5]), (9, t[5]), (9, t[6]), (12, t[6]),               # the smallest id of t[6] lies in t[5]'s component too
+            (None, t[7]), (7, t[7]), (-3, t[8]), (-3, t[8])]
+    df = spark.createDataFrame([(i, x, "f", k, "l") for k, (i, x) in enumerate(rows)], DOCS).repartition(3)
+    got = sorted((t.index(r.text), r.doc_id) for r in simhash.one_of_each(df).collect())
+    assert got == [(0, None), (1, None), (2, None), (3, 5), (4, 5), (5, 1), (6, 9), (7, 7), (8, -3)]
+
+
 def test_tiling_equals_trying_all_pairs():
     rng = random.Random(1)
     for _ in range(300):
