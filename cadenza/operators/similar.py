@@ -157,9 +157,11 @@ def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int = 12,
 
     An item has one bucket in each of ``tables`` tables: the sides of some hyperplanes its
     vector lies on, as many as split the catalogue into buckets of about ``bucket`` items. In
-    a bucket, items are compared as one block. A bucket above ``most`` items (repeated
-    vectors, say) is split by item id into parts of about ``most``. Work and data grow as
-    ``n · tables``; pairs that share a bucket in no table are missed, so items may have fewer
+    a bucket, all items are compared: as one block, or above ``most`` items (a dense cluster,
+    repeated vectors) as blocks of about ``most`` in the ordered pairs of :func:`similar_items`,
+    so a task stays bounded and no pair is lost. Where these buckets hold more pairs than the
+    whole catalogue, the exact search costs less and is taken. Work and data grow as
+    ``n · tables`` otherwise; pairs that share a bucket in no table are missed, so items may have fewer
     than ``k`` neighbours and recall has to be measured (the query ``similar_lsh_recall``).
     """
     ship_package(vectors.sparkSession)
@@ -178,8 +180,19 @@ def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int = 12,
     vector = usable.schema["v"].dataType.simpleString()
     placed = usable.mapInPandas(place, f"item_id int, v {vector}, key long")
     sizes = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
-    part = F.pmod(F.xxhash64("item_id"), F.ceil(F.coalesce("n", F.lit(1)) / most)).cast("int")
-    parted = placed.join(sizes, "key", "left").select("key", part.alias("block"), "item_id", "v")
+    crowded = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
+    if crowded > n * n:
+        return similar_items(vectors, k, id_col=id_col, vec_col=vec_col, n_blocks=math.ceil(n / most))
     pack, topk = _pack(dtype), _pair_topk(k, dtype)
-    found = parted.groupBy("key", "block").applyInPandas(lambda key, pdf: topk(pack((key[1],), pdf)), OUT_SCHEMA)
+    if not crowded:
+        found = placed.groupBy("key").applyInPandas(lambda key, pdf: topk(pack((0,), pdf)), OUT_SCHEMA)
+        return top_k_per_item(found.dropDuplicates(["item_id_1", "item_id_2"]), k)
+    parts = F.ceil(F.coalesce("n", F.lit(1)) / most).cast("int")
+    parted = placed.join(sizes, "key", "left").select(
+        "key", parts.alias("parts"), F.pmod(F.xxhash64("item_id"), parts).cast("int").alias("block"), "item_id", "v")
+    packed = parted.groupBy("key", "parts", "block").applyInPandas(
+        lambda key, pdf: pack((key[2],), pdf).assign(key=key[0], parts=key[1]), f"{PACKED}, key long, parts int")
+    routed = packed.select("key", "block", "ids", "vectors", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+        "key", "block", "ids", "vectors", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+    found = routed.groupBy("a", "b", "key").applyInPandas(_own_or_pair(topk), OUT_SCHEMA)
     return top_k_per_item(found.dropDuplicates(["item_id_1", "item_id_2"]), k)

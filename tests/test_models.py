@@ -99,6 +99,18 @@ def test_lsh_recall_zero_vectors_and_double_elements(spark, fx):
     assert similar_items_lsh(df.where("false"), k=2).count() == 0 == similar_items(df.where("false"), k=2).count()
 
 
+def test_lsh_compares_all_of_a_crowded_bucket(spark):
+    """A dense third of the catalogue in one bucket per table, far above ``most``: nothing is lost."""
+    rng = np.random.default_rng(7)
+    dense = rng.normal(size=16) + 0.01 * rng.normal(size=(400, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([dense, rng.normal(size=(800, 16))]))]
+    df = spark.createDataFrame(rows, "item_id int, vector array<double>")
+    pairs = lambda found: {(r.item_id_1, r.item_id_2) for r in found.where("item_id_1 < 400").collect()}
+    exact = pairs(similar_items(df, k=5))
+    for tables in (2, 12):  # 12 tables hold more pairs than the catalogue: the exact search
+        assert len(pairs(similar_items_lsh(df, k=5, tables=tables, bucket=150, most=100)) & exact) >= 0.9 * len(exact)
+
+
 def test_als_blocks_follow_the_ids_not_the_cluster(spark):
     few = spark.range(1000).selectExpr("int(id % 50) user_id", "int(id % 7) item_id", "1L plays")
     users, items = cf.als_blocks(few, ids_per_block=10, most=16)
