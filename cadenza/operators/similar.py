@@ -32,6 +32,7 @@ from cadenza.session import ship_package
 SIMILAR_K = 10
 DEFAULT_BLOCK = 8192
 STRIPE = 512
+COSINE, RECALL = 0.8, 0.9  # the approximate search finds pairs of this cosine with this probability
 
 OUT_SCHEMA = "item_id_1 int, item_id_2 int, score double"
 PACKED = "block int, ids binary, vectors binary"
@@ -151,8 +152,15 @@ def hyperplane_bits(n: int, bucket: int) -> int:
     return max(1, math.ceil(math.log2(max(2.0, n / bucket))))
 
 
-def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int = 12, bucket: int = 512, most: int = 4096,
-                      seed: int = 42, id_col: str = "item_id", vec_col: str = "vector") -> DataFrame:
+def tables_for(bits: int, cosine: float = COSINE, recall: float = RECALL) -> int:
+    """Tables of ``bits`` hyperplanes in which a pair of that cosine shares some bucket with
+    probability ``recall``: it shares one with ``(1 - angle / pi) ** bits``. At least 12."""
+    together = (1 - math.acos(cosine) / math.pi) ** bits
+    return max(12, math.ceil(math.log(1 - recall) / math.log1p(-together)))
+
+
+def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int | None = None, bucket: int = 512, most: int = 4096,
+                      seed: int = 42, id_col: str = "item_id", vec_col: str = "vector", bits: int | None = None) -> DataFrame:
     """Approximate neighbours by random-hyperplane LSH, in the columns of :func:`similar_items`.
 
     An item has one bucket in each of ``tables`` tables: the sides of some hyperplanes its
@@ -160,14 +168,20 @@ def similar_items_lsh(vectors: DataFrame, k: int = SIMILAR_K, tables: int = 12,
     a bucket, all items are compared: as one block, or above ``most`` items (a dense cluster,
     repeated vectors) as blocks of about ``most`` in the ordered pairs of :func:`similar_items`,
     so a task stays bounded and no pair is lost. Where these buckets hold more pairs than the
-    whole catalogue, the exact search costs less and is taken. Work and data grow as
-    ``n · tables`` otherwise; pairs that share a bucket in no table are missed, so items may have fewer
-    than ``k`` neighbours and recall has to be measured (the query ``similar_lsh_recall``).
+    whole catalogue, the exact search costs less and is taken.
+
+    The number of tables follows the bits (:func:`tables_for`): at every size a pair of cosine
+    0.8 is found with probability 0.9 (over the draw of the planes), a closer one with more.
+    That takes 12 tables up to 7 bits, 28 at 11 (1 M items) and 71 at 15 (10 M); work and data
+    grow as ``n · tables``. Pairs that share a bucket in no table are missed, mostly such of lower
+    cosine, so items without near neighbours may have fewer than ``k``. ``bits`` and ``tables``
+    can be given, to measure recall as of a larger catalogue.
     """
     ship_package(vectors.sparkSession)
     usable, dtype = _usable(vectors, id_col, vec_col)
     n, d = usable.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
-    bits = hyperplane_bits(n, bucket)
+    bits = bits or hyperplane_bits(n, bucket)
+    tables = tables or tables_for(bits)
     planes = np.random.default_rng(seed).normal(size=(d or 1, tables * bits))
 
     def place(batches):

@@ -111,6 +111,26 @@ def test_lsh_compares_all_of_a_crowded_bucket(spark):
         assert len(pairs(similar_items_lsh(df, k=5, tables=tables, bucket=150, most=100)) & exact) >= 0.9 * len(exact)
 
 
+@pytest.mark.parametrize("bits", [8, 11])
+def test_lsh_finds_pairs_of_the_documented_cosine(spark, bits):
+    """Recall for ids divisible by 50 with the bits of 100,000 and 1 M items, on pairs of cosine 0.8."""
+    rng = np.random.default_rng(11)
+    a, b = rng.normal(size=(2, 1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    near = 0.8 * a + 0.6 * b / np.linalg.norm(b, axis=1, keepdims=True)
+    v = np.stack([a, near], axis=1).reshape(-1, 64)  # 2i and 2i + 1 are neighbours
+    df = spark.createDataFrame([(i, [float(x) for x in y]) for i, y in enumerate(v)], "item_id int, vector array<double>")
+    found = {(r.item_id_1, r.item_id_2) for r in similar_items_lsh(df, k=1, bits=bits).collect()}
+    queries = range(0, len(v), 50)
+    scores = v[queries] @ v.T
+    scores[np.arange(len(queries)), queries] = -1
+    exact = set(zip(queries, scores.argmax(axis=1).tolist()))
+    print(f"bits {bits}: queries {len(exact & found)} of {len(exact)}; all", sum((2 * i, 2 * i + 1) in found for i in range(1500)), "of 1500")
+    assert exact == {(i, i + 1) for i in queries} and len(exact & found) >= 0.85 * len(exact)
+    assert sum((2 * i, 2 * i + 1) in found for i in range(1500)) >= 0.88 * 1500
+
+
 def test_als_blocks_follow_the_ids_not_the_cluster(spark):
     few = spark.range(1000).selectExpr("int(id % 50) user_id", "int(id % 7) item_id", "1L plays")
     users, items = cf.als_blocks(few, ids_per_block=10, most=16)
