@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.binary_tokens import op5_token_binary
+from cadenza.llm.byte_bpe import op13_byte_bpe
 from cadenza.llm.chat_format import OP8_SQL, op8_chat_format
 from cadenza.llm.decontamination import op3_decontamination
+from cadenza.llm.divergence import OP12_SQL, op12_divergence
 from cadenza.llm.language import op9_language
 from cadenza.llm.packing import op2_packing
+from cadenza.llm.resampling import op11_importance
 from cadenza.llm.simhash import op4_simhash
 from cadenza.llm.token_counts import op10_token_counts
 from cadenza.llm.toxicity import op6_toxicity
@@ -28,9 +31,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_language": op9_language,
     "op10_token_counts": op10_token_counts,
+    "op11_importance": op11_importance,
+    "op12_divergence": op12_divergence,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": OP1_SQL,
     "op8_chat_format": OP8_SQL,
+    "op12_divergence": OP12_SQL,
 }
