@@ -49,6 +49,25 @@ def filter_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     return candidates.join(seen, ["user_id", "item_id"], "left_anti")
 
 
+def seen_bitmaps(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """The history as bitmaps (U4 V5): ``user_id, bucket, bits``, one row per user and 32,768 consecutive
+    item ids, a bit for each seen item. Built by a partial aggregate before the shuffle, so a
+    user's plays travel as one row per task and bucket however many they are."""
+    pairs = events.select("user_id", "item_id")
+    if users is not None:
+        pairs = pairs.join(users.select("user_id"), "user_id", "left_semi")
+    return pairs.groupBy("user_id", F.bitmap_bucket_number("item_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("item_id")).alias("bits"))
+
+
+def filter_seen_bits(candidates: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """:func:`filter_seen` by testing a bit: a left join on (user, bucket) with at most one row each."""
+    place = candidates.withColumn("bucket", F.bitmap_bucket_number("item_id"))
+    byte = "cast(conv(hex(substring(bits, cast(bitmap_bit_position(item_id) div 8 as int) + 1, 1)), 16, 10) as int)"
+    seen = F.coalesce(F.expr(f"(shiftright({byte}, cast(bitmap_bit_position(item_id) % 8 as int)) & 1) = 1"), F.lit(False))
+    return place.join(bitmaps, ["user_id", "bucket"], "left").where(~seen).select(*candidates.columns)
+
+
 def renumber(candidates: DataFrame, order_col: str = "pos", k_col: str | None = "k") -> DataFrame:
     """Dense positions 1.. in ``order_col`` order per request, cut to the per-row ``k``.
 
@@ -93,14 +112,24 @@ def offline_candidates(requests: DataFrame, recs: DataFrame, top: DataFrame,
 
 
 def offline_recs(requests: DataFrame, recs: DataFrame, top: DataFrame, events: DataFrame,
-                 extra_seen: DataFrame | None = None, overfetch: int = OVERFETCH) -> DataFrame:
+                 extra_seen: DataFrame | None = None, overfetch: int = OVERFETCH, whole_history: bool = False, bitmaps: DataFrame | None = None) -> DataFrame:
     """Personal list (else the popular one), first ``2k`` entries, minus history, first ``k``.
 
     Only the 2k prefix is fetched, so fewer than k items may remain after the filter, as in
     the original. ``extra_seen`` (``user_id, item_id``) adds exclusions, e.g. recent online
     items; by default only the offline history is excluded.
+
+    ``whole_history`` joins ``events`` as they are, neither cut to the requesting users nor made
+    distinct: for a table bucketed by (user_id, item_id), which then is read in place while only the
+    candidates are shuffled. ``bitmaps`` (:func:`seen_bitmaps`) take the place of ``events``.
     """
     cands = offline_candidates(requests, recs, top, overfetch)
+    if bitmaps is not None:
+        cands = filter_seen_bits(cands, bitmaps)
+        return renumber(cands if extra_seen is None else filter_seen(cands, extra_seen.select("user_id", "item_id")))
+    if whole_history:
+        cands = filter_seen(cands, events.select("user_id", "item_id"))
+        return renumber(cands if extra_seen is None else filter_seen(cands, extra_seen.select("user_id", "item_id")))
     seen = seen_items(events, requests)
     if extra_seen is not None:
         seen = seen.unionByName(extra_seen.select("user_id", "item_id"))

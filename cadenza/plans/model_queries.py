@@ -5,46 +5,83 @@ Model outputs depend on floating-point training, so the lists themselves have no
 queries state, as ``(check_name, value)`` rows, how many rows, users and ranks a result must
 have and that nothing breaks its rules, and the metrics of the popular list by value.
 
-Every query fits its models anew, once, and stores their lists before using them, so that
-the actions of one query read the stored lists.
+Models and their lists are stages of one store per application and input folder, with a
+manifest of the input files and parameters (:mod:`cadenza.sources.stages`): queries over the same
+files share one fit, and files or parameters that changed lead to a new one.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.operators import cf, metrics, popularity, ranker
+from cadenza.operators import cf, ids, metrics, popularity, ranker
 from cadenza.operators.similar import similar_items
 from cadenza.plans.oracles import BASE, POPULAR
 from cadenza.plans.queries import rounded
+from cadenza.session import checkpoint_dir
 from cadenza.sources.fixtures import Fixture
-from cadenza.sources.tables import preview, read_metrics_csv, write_metrics_csv
+from cadenza.sources.stages import StageStore
+from cadenza.sources.tables import preview, read_metrics_csv, write_metrics_csv, write_stage
+
+
+def model_store(fx: Fixture) -> StageStore:
+    """The application's stages for one input folder, below the shared checkpoint folder."""
+    key = hashlib.sha256(fx.sf_dir.encode()).hexdigest()[:12]
+    return StageStore(fx.spark, f"{checkpoint_dir(fx.spark).rstrip('/')}/models-{fx.spark.sparkContext.applicationId}-{key}")
+
+
+def _inputs(fx: Fixture) -> list[str]:
+    return [f"{fx.sf_dir.rstrip('/')}/{name}.parquet" for name in ("lineitem", "orders", "part", "supplier", "customer")]
+
 
+def _save(model, path: str) -> None:
+    model.write().overwrite().save(path)
 
-def _personal(fx: Fixture) -> DataFrame:
-    return fx.stored("personal", cf.personal_recs(cf.fit_als(cf.interaction_weights(fx.train))))
 
+def _als(fx: Fixture, store: StageStore) -> ALSModel:
+    store.stage("als", lambda: cf.fit_als(cf.interaction_weights(fx.train)), paths=_inputs(fx), write=_save,
+                params={"rank": cf.ALS_RANK, "iterations": cf.ALS_ITERATIONS, "split": fx.split})
+    return ALSModel.load(store.folder("als"))
 
-def _final(fx: Fixture, personal: DataFrame) -> tuple[DataFrame, object, DataFrame]:
-    """Final lists, the fitted ranker and its candidates, from stored personal lists."""
-    cands = fx.stored("candidates", ranker.build_candidates(personal, fx.train))
-    model = ranker.fit_ranker(cands, ranker.sample_users(cands.select("user_id").distinct()))
-    return fx.stored("final", ranker.rank_candidates(model, cands, fx.test_users)), model, cands
+
+def _personal(fx: Fixture, store: StageStore) -> DataFrame:
+    model = _als(fx, store)
+    return store.stage("personal", lambda: cf.personal_recs(model), after=["als"], params={"n": cf.PERSONAL_N})
+
+
+def _similar(fx: Fixture, store: StageStore) -> DataFrame:
+    model = _als(fx, store)
+    return store.stage("similar", lambda: similar_items(cf.item_vectors(model, fx.train)), after=["als"])
+
+
+def _final(fx: Fixture, store: StageStore) -> tuple[DataFrame, object, DataFrame]:
+    """Final lists, the fitted ranker and its candidates."""
+    personal = _personal(fx, store)
+    cands = store.stage("candidates", lambda: ranker.build_candidates(personal, fx.train), after=["personal"])
+    store.stage("ranker", lambda: ranker.fit_ranker(cands, ranker.sample_users(cands.select("user_id").distinct())),
+                after=["candidates"], write=_save, params={"trees": ranker.GBT_ITERATIONS, "depth": ranker.GBT_DEPTH})
+    model = ranker.load_ranker(store.folder("ranker"))
+    return store.stage("final", lambda: ranker.rank_candidates(model, cands, fx.test_users), after=["ranker"]), model, cands
 
 
 def q_als_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_personal(Fixture(spark, sf_dir)))
+    fx = Fixture(spark, sf_dir)
+    return rounded(_personal(fx, model_store(fx)))
 
 
 def q_als_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return rounded(similar_items(cf.item_vectors(cf.fit_als(cf.interaction_weights(fx.train)), fx.train)))
+    return rounded(_similar(fx, model_store(fx)))
 
 
 def q_ranker_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    return rounded(_final(fx, _personal(fx))[0])
+    return rounded(_final(fx, model_store(fx))[0])
 
 
 def _sets(fx: Fixture, personal: DataFrame, final: DataFrame) -> dict[str, DataFrame]:
@@ -54,8 +91,8 @@ def _sets(fx: Fixture, personal: DataFrame, final: DataFrame) -> dict[str, DataF
 
 def q_evaluate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
-    personal = _personal(fx)
-    return rounded(metrics.evaluate_many(_sets(fx, personal, _final(fx, personal)[0]), fx.train, fx.test, fx.items))
+    store = model_store(fx)
+    return rounded(metrics.evaluate_many(_sets(fx, _personal(fx, store), _final(fx, store)[0]), fx.train, fx.test, fx.items))
 
 
 def checks(df: DataFrame, **values: Column) -> DataFrame:
@@ -80,10 +117,10 @@ def list_checks(lists: DataFrame, owner: str, item: str, known_items: DataFrame,
 def q_als_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal lists: 50 items for every trained user. Similar items: 10 others for every trained item."""
     fx = Fixture(spark, sf_dir)
-    model = cf.fit_als(cf.interaction_weights(fx.train))
-    similar = fx.stored("similar", similar_items(cf.item_vectors(model, fx.train)))
+    store = model_store(fx)
+    similar = _similar(fx, store)
     selves = checks(similar, self_pairs=F.sum(F.when(F.col("item_id_1") == F.col("item_id_2"), 1).otherwise(0)))
-    return (list_checks(fx.stored("personal", cf.personal_recs(model)), "user_id", "item_id", fx.train, "personal_")
+    return (list_checks(_personal(fx, store), "user_id", "item_id", fx.train, "personal_")
             .unionByName(list_checks(similar, "item_id_1", "item_id_2", fx.train, "similar_")).unionByName(selves))
 
 
@@ -91,8 +128,9 @@ def q_ranker_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final lists, a reloaded ranker against the fitted one, and the evaluation read back from CSV:
     the popular list's metrics by value, the others within their bounds."""
     fx = Fixture(spark, sf_dir)
-    personal = _personal(fx)
-    final, model, cands = _final(fx, personal)
+    store = model_store(fx)
+    personal = _personal(fx, store)
+    final, model, cands = _final(fx, store)
     path = fx.folder("ranker")
     ranker.save_ranker(model, path)
     again = ranker.rank_candidates(ranker.load_ranker(path), cands, fx.test_users)
@@ -108,6 +146,88 @@ def q_ranker_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(checks(back, models=F.count(F.lit(1)), out_of_bounds=out_of_bounds)))
 
 
+def q_als_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained users, and those whose factors miss the last half-step's least-squares solution by 0.001 or more."""
+    fx = Fixture(spark, sf_dir)
+    gaps = cf.normal_equations(_als(fx, model_store(fx)), cf.interaction_weights(fx.train))
+    return checks(gaps, users=F.count(F.lit(1)), unsolved=F.sum(F.when(F.col("residual") < 1e-3, 0).otherwise(1)))
+
+
+def q_als_topn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pruned search against the full product of the factor tables: users, ranks, and ranks whose
+    score differs (lists may swap items whose scores differ by less than single precision shows)."""
+    fx = Fixture(spark, sf_dir)
+    model = _als(fx, model_store(fx))
+    found = cf.personal_search(model).recs.select("user_id", "rank", "score")
+    full = model.recommendForAllUsers(cf.PERSONAL_N).select("user_id", F.posexplode("recommendations").alias("pos", "rec")).select(
+        "user_id", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").cast("double").alias("expected"))
+    both = found.join(full, ["user_id", "rank"], "full_outer")
+    near = F.abs(F.col("score") - F.col("expected")) <= 1e-5 * F.greatest(F.lit(1.0), F.abs("expected"))
+    return checks(both, users=F.count_distinct("user_id"), ranks=F.count(F.lit(1)),
+                  different=F.sum(F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1)))
+
+
+def q_als_any_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ALS on users named by strings and items by numbers beyond INT, through dense codes and back,
+    against ALS on the same plays under their INT ids (through codes too): lists, and ranks that differ."""
+    fx = Fixture(spark, sf_dir)
+    train = fx.stored("train", fx.train)
+    named = train.select(F.format_string("user %012d", "user_id").alias("user_id"),
+                         (F.col("item_id") * F.lit(10**12)).alias("item_id"), "started_at")
+
+    def lists(events, prefix):
+        coded, users, items = ids.encoded_pairs(events)
+        recs = fx.stored("coded-recs", cf.personal_recs(cf.fit_als(cf.interaction_weights(coded))))
+        return ids.decode(ids.decode(recs, users, "user_id"), items, "item_id").select(
+            "user_id", "rank", F.col("item_id").alias(f"{prefix}_item"), F.col("score").alias(f"{prefix}_score"))
+
+    plain = lists(train, "plain")
+    other = lists(named, "other").withColumn("user_id", F.regexp_extract("user_id", r"(\d+)$", 1).cast("int"))
+    both = plain.join(other, ["user_id", "rank"], "full_outer")
+    same = (F.abs(F.col("plain_score") - F.col("other_score")) < 1e-3) & F.col("other_item").isNotNull()
+    return checks(both, users=F.count_distinct("user_id"), ranks=F.count(F.lit(1)),
+                  unknown_items=F.sum(F.when(F.col("other_item") % F.lit(10**12) == 0, 0).otherwise(1)),
+                  different=F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)))
+
+
+def q_ranker_by_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate scored by SQL functions from the saved trees against the model's probability,
+    and whether the log loss of the training rows fell."""
+    fx = Fixture(spark, sf_dir)
+    store = model_store(fx)
+    _, model, cands = _final(fx, store)
+    by_trees = ranker.score_by_trees(cands, ranker.tree_table(store.folder("ranker"), spark))
+    feats = cands.select("user_id", "item_id", *[F.col(c).cast("double").alias(c) for c in ranker.FEATURES])
+    by_model = model.transform(feats).select("user_id", "item_id", vector_to_array("probability")[1].alias("p"))
+    gap = F.abs(F.col("score") - F.col("p"))
+    loss = ranker.losses(model, cands, ranker.sample_users(cands.select("user_id").distinct()))
+    return checks(by_trees.join(by_model, ["user_id", "item_id"], "full_outer"), candidates=F.count(F.lit(1)),
+                  different=F.sum(F.when(F.coalesce(gap < 1e-9, F.lit(False)), 0).otherwise(1))).unionByName(
+        spark.createDataFrame([("loss_fell", float(loss[-1] < loss[0]))], "check_name string, value double"))
+
+
+def q_stage_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four stages, each behind another, run four times: anew, unchanged, with another parameter of the third,
+    with other files behind the first. One row per run and stage, with what was done and how many rows it holds."""
+    fx = Fixture(spark, sf_dir)
+    base, source = fx.folder("manifest"), fx.folder("source")
+    write_stage(fx.interactions, source)
+
+    def run(least: int) -> list:
+        store = StageStore(spark, base)
+        plays = store.stage("plays", lambda: spark.read.parquet(source), paths=[source])
+        users = store.stage("users", lambda: plays.groupBy("user_id").count(), after=["plays"])
+        busy = store.stage("busy", lambda: users.where(F.col("count") >= least), after=["users"], params={"least": least})
+        tracks = store.stage("tracks", lambda: plays.select("track_id").distinct(), after=["plays"])
+        rows = {"plays": plays.count(), "users": users.count(), "busy": busy.count(), "tracks": tracks.count()}
+        return [(name, did, float(rows[name])) for name, did in store.actions]
+
+    out = [(1, *r) for r in run(10)] + [(2, *r) for r in run(10)] + [(3, *r) for r in run(20)]
+    write_stage(fx.interactions.where(F.col("track_seq") > 1), source)
+    out += [(4, *r) for r in run(20)]
+    return spark.createDataFrame(out, "run int, stage string, action string, value double")
+
+
 def q_final_rank_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final order on a score without training that ties a lot: plays of the item, in tens."""
     fx = Fixture(spark, sf_dir)
@@ -126,7 +246,6 @@ def q_sampled_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_stage_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored stage: kept as it is by mode ``ignore``, replaced by ``overwrite``, previewed."""
-    from cadenza.sources.tables import write_stage
     fx = Fixture(spark, sf_dir)
     path = fx.folder("reuse")
     first = write_stage(fx.events, path).count()
@@ -144,6 +263,11 @@ MODEL_QUERIES = {
     "evaluate_all": q_evaluate_all,
     "als_contract": q_als_contract,
     "ranker_contract": q_ranker_contract,
+    "als_normal_equations": q_als_normal_equations,
+    "als_topn_exact": q_als_topn_exact,
+    "als_any_ids": q_als_any_ids,
+    "ranker_by_trees": q_ranker_by_trees,
+    "stage_manifest": q_stage_manifest,
     "final_rank_ties": q_final_rank_ties,
     "sampled_users": q_sampled_users,
     "stage_reuse": q_stage_reuse,
@@ -171,6 +295,31 @@ MODEL_ORACLES = {
         ("popular_precision", "SELECT round(precision, 6) FROM p_pr_summary"), ("popular_recall", "SELECT round(recall, 6) FROM p_pr_summary"),
         ("popular_coverage", "SELECT round(coverage, 6) FROM p_coverage"), ("popular_novelty", "SELECT round(novelty, 6) FROM p_novelty"),
         ("models", "3"), ("out_of_bounds", "0")),
+    "als_normal_equations": "WITH " + BASE + _rows(("users", "SELECT count(DISTINCT user_id) FROM train"), ("unsolved", "0")),
+    "als_topn_exact": "WITH " + BASE + _rows(
+        ("users", "SELECT count(DISTINCT user_id) FROM train"),
+        ("ranks", f"SELECT count(DISTINCT user_id) * least(50, {N_ITEMS}) FROM train"), ("different", "0")),
+    "als_any_ids": "WITH " + BASE + _rows(
+        ("users", "SELECT count(DISTINCT user_id) FROM train"),
+        ("ranks", f"SELECT count(DISTINCT user_id) * least(50, {N_ITEMS}) FROM train"), ("unknown_items", "0"), ("different", "0")),
+    "ranker_by_trees": "WITH " + BASE + _rows(
+        ("candidates", f"SELECT count(DISTINCT user_id) * least(50, {N_ITEMS}) FROM train"), ("different", "0"), ("loss_fell", "1")),
+    "stage_manifest": "WITH " + BASE + """,
+sampled AS (SELECT 1 AS sample, * FROM interactions UNION ALL SELECT 2, * FROM interactions WHERE track_seq > 1),
+users AS (SELECT sample, user_id, count(*) AS n FROM sampled GROUP BY ALL),
+sizes AS (
+  SELECT sample, 'plays' AS stage, 0 AS min_n, count(*) AS value FROM sampled GROUP BY ALL
+  UNION ALL SELECT sample, 'users', 0, count(*) FROM users GROUP BY ALL
+  UNION ALL SELECT sample, 'busy', min_n, count(*) FILTER (WHERE n >= min_n) FROM users, (VALUES (10), (20)) v(min_n) GROUP BY ALL
+  UNION ALL SELECT sample, 'tracks', 0, count(DISTINCT track_id) FROM sampled GROUP BY ALL)
+SELECT CAST(run AS INTEGER) AS run, d.stage, action, CAST(value AS DOUBLE) AS value
+FROM (VALUES (1, 1, 10), (2, 1, 10), (3, 1, 20), (4, 2, 20)) r(run, sample, at_least)
+JOIN sizes s USING (sample)
+JOIN (VALUES (1, 'plays', 'built'), (1, 'users', 'built'), (1, 'busy', 'built'), (1, 'tracks', 'built'),
+             (2, 'plays', 'reused'), (2, 'users', 'reused'), (2, 'busy', 'reused'), (2, 'tracks', 'reused'),
+             (3, 'plays', 'reused'), (3, 'users', 'reused'), (3, 'busy', 'built'), (3, 'tracks', 'reused'),
+             (4, 'plays', 'built'), (4, 'users', 'built'), (4, 'busy', 'built'), (4, 'tracks', 'built')) d(run, stage, action)
+USING (run, stage) WHERE s.min_n IN (0, at_least)""",
     "final_rank_ties": "WITH " + BASE + """
 SELECT user_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT r.user_id, r.item_id, CAST(p.n // 10 AS DOUBLE) AS score,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.plans.oracles import BASE
 from cadenza.sources.fixtures import Fixture
 from cadenza.sources.tables import write_stage
-from cadenza.streaming import online
+from cadenza.streaming import lists, online
 
 MICRO_BATCHES = 4
 ROWS_PER_FILE = 500_000
@@ -55,6 +55,35 @@ def q_stream_blended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return online.latest_per_user(spark.read.parquet(f"{base}/compacted")).select("request_id", "user_id", "pos", "item_id")
 
 
+def q_stream_state_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest events of every user, read from the keyed state in the checkpoint, not from a sink."""
+    fx = Fixture(spark, sf_dir)
+    base = fx.folder("stream-state")
+    n = _write_source(fx.online_events, f"{base}/source", "ts")
+    online.run_last_events(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", files_per_trigger=n).awaitTermination()
+    return lists.newest_events_of(spark, f"{base}/checkpoint")
+
+
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blended lists kept by upsert: one current list per request after all micro-batches."""
+    fx = Fixture(spark, sf_dir)
+    base = fx.folder("stream-upsert")
+    n = _write_source(fx.online_events, f"{base}/source", "ts")
+    recs, top, similar, events, requests = _static(fx, base)
+    store = lists.ListStore(spark, f"{base}/lists")
+    lists.run_list_refresh(spark, f"{base}/source", store, f"{base}/checkpoint", recs, top, similar, events, requests,
+                           files_per_trigger=n).awaitTermination()
+    return store.lists()
+
+
+def _static(fx: Fixture, base: str) -> list[DataFrame]:
+    """The static sides as written tables, clustered by user or item, as the build's outputs are."""
+    by = {"recs": "user_id", "similar": "item_id_1", "events": "user_id", "requests": "user_id"}
+    return [write_stage(df, f"{base}/static/{name}", range_by=[by[name]] if name in by else None)
+            for name, df in (("recs", fx.nation_recs), ("top", fx.top_popular), ("similar", fx.similar),
+                             ("events", fx.events), ("requests", fx.requests))]
+
+
 def q_stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = Fixture(spark, sf_dir)
     base = fx.folder("stream-clean")
@@ -68,6 +97,8 @@ STREAM_QUERIES = {
     "stream_last_events": q_stream_last_events,
     "stream_blended": q_stream_blended,
     "stream_clean": q_stream_clean,
+    "stream_state_read": q_stream_state_read,
+    "stream_upsert": q_stream_upsert,
 }
 
 STREAM_ORACLES = {
@@ -75,5 +106,8 @@ STREAM_ORACLES = {
     # only users with online events have streaming state, hence a refreshed list
     "stream_blended": "WITH " + BASE + "\nSELECT request_id, user_id, pos, item_id FROM blended_list "
                       "WHERE user_id IN (SELECT user_id FROM online)",
+    "stream_state_read": "WITH " + BASE + "\nSELECT user_id, pos, item_id, ts, event_id FROM last_events",
+    "stream_upsert": "WITH " + BASE + "\nSELECT request_id, user_id, pos, item_id FROM blended_list "
+                     "WHERE user_id IN (SELECT user_id FROM online)",
     "stream_clean": "WITH " + BASE + "\nSELECT user_id, track_id, started_at FROM clean",
 }

@@ -1,0 +1,169 @@
+"""Pruned top N, the cell index, dense ids: against brute force, and what their plans hold."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cadenza.operators import cf, ids, ivf, topn
+from cadenza.operators.numbering import numbered
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def vectors(spark, matrix, name, first=1, kind="double"):
+    rows = [(first + i, [float(x) for x in row]) for i, row in enumerate(matrix)]
+    return spark.createDataFrame(rows, f"{name} int, vector array<{kind}>")
+
+
+def brute(users, items, n):
+    scores = users @ items.T
+    return {u + 1: [int(i) + 1 for i in np.lexsort((np.arange(len(items)), -s))[:n]] for u, s in enumerate(scores)}
+
+
+def lists_of(recs):
+    out = {}
+    for r in recs.orderBy("user_id", "rank").collect():
+        out.setdefault(r.user_id, []).append(r.item_id)
+    return out
+
+
+def test_numbered_is_dense_and_in_order(spark):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("v"), "id").repartition(9)
+    got = numbered(df, F.desc("v")).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(2000))
+    assert [r.v for r in got] == sorted((r.v for r in got), reverse=True)
+    assert numbered(df.where("false"), "v").collect() == []
+
+
+@pytest.mark.parametrize("chunk, block", [(16, 7), (4096, 2048)])
+def test_top_inner_products_equal_the_full_product(spark, chunk, block):
+    rng = np.random.default_rng(1)
+    # integers: equal scores are exactly equal, so that ties are seen
+    users, items = rng.integers(-4, 5, (40, 6)), rng.integers(-4, 5, (150, 6)) * rng.integers(1, 4, (150, 1))
+    items[5] = items[77]
+    got = topn.top_inner_products(vectors(spark, users, "user_id"), vectors(spark, items, "item_id"), 9, chunk=chunk, block=block)
+    assert lists_of(got.recs) == brute(users, items, 9)
+    assert got.recs.columns == ["user_id", "item_id", "score", "rank"]
+    work = got.work.first()
+    assert work.pairs == 40 * 150 and 0 < work.scored <= work.pairs
+
+
+def test_long_norms_are_all_that_is_scored(spark):
+    """Ten items far longer than the rest and in all directions: the chunks behind them are never read."""
+    rng = np.random.default_rng(2)
+    items = rng.normal(size=(600, 4))
+    items[100:116] = np.array([[100 * (s >> i & 1 or -1) for i in range(4)] for s in range(16)])
+    users = rng.normal(size=(30, 4))
+    got = topn.top_inner_products(vectors(spark, users, "user_id"), vectors(spark, items, "item_id"), 1, chunk=16, block=8)
+    assert lists_of(got.recs) == brute(users, items, 1)
+    assert got.work.first().skipped_share > 0.95
+
+
+def test_top_inner_products_odd_cases(spark):
+    none = spark.createDataFrame([], "user_id int, vector array<double>")
+    items = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [1.0, 0.0])], "item_id int, vector array<double>")
+    assert topn.top_inner_products(none, items, 3).recs.collect() == []
+    users = spark.createDataFrame([(1, [0.0, 0.0]), (2, [-1.0, 2.0]), (3, None)], "user_id int, vector array<double>")
+    assert topn.top_inner_products(users, items.where("false"), 3).recs.collect() == []
+    assert lists_of(topn.top_inner_products(users, items, 3, chunk=1, block=1).recs) == {1: [1, 2, 4], 2: [1, 2, 4]}
+    assert lists_of(topn.top_inner_products(users, items, 2, chunk=1, block=1).recs) == {1: [1, 2], 2: [1, 2]}
+
+
+def test_personal_recs_without_a_product_of_tables(spark, fx):
+    model = cf.fit_als(cf.interaction_weights(fx.train), rank=8, max_iter=3)
+    recs = cf.personal_recs(model, n=7)
+    assert "Cartesian" not in _plan(recs) and "NestedLoop" not in _plan(recs)
+    full = model.recommendForAllUsers(7).select("user_id", F.posexplode("recommendations").alias("p", "r"))
+    expected = {(r.user_id, r.p + 1): r.r.rating for r in full.collect()}
+    got = {(r.user_id, r["rank"]): r.score for r in recs.collect()}
+    assert got.keys() == expected.keys()
+    assert max(abs(got[k] - expected[k]) for k in got) < 1e-5
+    some = fx.train.select("user_id").distinct().limit(3)
+    assert cf.personal_recs(model, n=7, users=some).select("user_id").distinct().count() == 3
+
+
+def test_als_factors_solve_their_normal_equations(spark, fx):
+    weights = cf.interaction_weights(fx.train)
+    model = cf.fit_als(weights, rank=6, max_iter=2)
+    gaps = cf.normal_equations(model, weights)
+    assert gaps.count() == weights.select("user_id").distinct().count()
+    assert gaps.agg(F.max("residual")).first()[0] < 1e-3
+    assert cf.normal_equations(model, weights, alpha=2.0).agg(F.min("residual")).first()[0] > 1e-3  # another model's equations
+
+
+def true_neighbours(matrix, asked, k):
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    scores = unit[asked] @ unit.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    return {int(a) + 1: [int(i) + 1 for i in np.lexsort((np.arange(len(unit)), -s))[:k]] for a, s in zip(asked, scores)}
+
+
+def neighbour_lists(df):
+    out = {}
+    for r in df.orderBy("item_id_1", "rank").collect():
+        out.setdefault(r.item_id_1, []).append(r.item_id_2)
+    return out
+
+
+@pytest.fixture(scope="module")
+def cloud():
+    """Random directions, and a third of all rows close together."""
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(900, 12))
+    rows[300:600] = rng.normal(size=12) * 3 + rng.normal(size=(300, 12)) * 0.2
+    return rows
+
+
+def test_exact_neighbours_of_queries(spark, cloud, monkeypatch):
+    monkeypatch.setattr(ivf, "BLOCK", 128)
+    frame = vectors(spark, cloud, "item_id")
+    got = neighbour_lists(ivf.exact_neighbours(frame.where("item_id % 50 = 0"), frame, 5))
+    assert got == true_neighbours(cloud, np.arange(49, 900, 50), 5)
+
+
+def test_index_reaches_the_recall_it_was_calibrated_for(spark, cloud):
+    frame = vectors(spark, cloud, "item_id", kind="float")
+    found, measured = ivf.similar_items_ivf(frame, k=5, cells=40, every=10)
+    assert measured["probes"] < measured["cells"]  # it is an index, not a scan
+    assert measured["index"].select(F.sum(F.length("ids") / 4)).first()[0] == 900
+    lists = neighbour_lists(found)
+    asked = np.arange(9, 900, 10)
+    truth = true_neighbours(cloud.astype(np.float32).astype(float), asked, 5)
+    hits = sum(len(set(truth[a]) & set(lists.get(a, []))) for a in truth)
+    assert hits >= 0.9 * 5 * len(asked)
+    assert measured["true_pairs"] == 5 * len(asked)
+    others = true_neighbours(cloud.astype(np.float32).astype(float), np.arange(0, 900, 7), 5)  # not calibrated on
+    assert sum(len(set(others[a]) & set(lists.get(a, []))) for a in others) >= 0.8 * 5 * len(others)
+
+
+def test_all_probes_are_the_exact_search(spark, cloud):
+    frame = vectors(spark, cloud[:200], "item_id")
+    centres = ivf.fit_cells(frame, 12)
+    index = ivf.stored(ivf.packed(ivf.in_cells(ivf._usable(frame, "item_id", "vector")[0], centres), "<f8", block=16), "index")
+    got = neighbour_lists(ivf.search(index, frame, centres, len(centres), 4))
+    assert got == true_neighbours(cloud[:200], np.arange(200), 4)
+
+
+def test_calibrated_probes_is_the_least_number(spark):
+    places = spark.createDataFrame([(1, i, p) for i, p in enumerate([1] * 6 + [2] * 2 + [5, 9])], "item_id_1 int, item_id_2 int, place int")
+    assert [ivf.calibrated_probes(places, r) for r in (0.6, 0.8, 0.9, 1.0)] == [1, 2, 5, 9]
+    assert ivf.calibrated_probes(places.where("false")) == 1
+
+
+def test_dense_ids_of_any_type(spark):
+    rows = [("b", 10**12, 1), ("a", 5, 2), (None, 7, 3), ("b", 5, 4), ("ä", None, 5)]
+    df = spark.createDataFrame(rows, "u string, i bigint, n int")
+    users, items = ids.dense_index(df, "u"), ids.dense_index(df, "i")
+    assert {r.id: r.code for r in users.collect()} == {"a": 0, "b": 1, "ä": 2}
+    assert {r.id: r.code for r in items.collect()} == {5: 0, 7: 1, 10**12: 2}
+    assert sorted((r.u, r.n) for r in ids.encode(df, users, "u").collect()) == [(0, 2), (1, 1), (1, 4), (2, 5)]
+    kept = ids.encode(df, users, "u", "code", unknown="keep")
+    assert kept.columns == ["u", "i", "n", "code"] and {r.n: r.code for r in kept.collect()}[3] is None
+    with pytest.raises(Exception, match="without a code"):
+        ids.encode(df, users, "u", unknown="fail").collect()
+    back = ids.decode(ids.encode(df, items, "i"), items, "i")
+    assert sorted((r.i, r.n) for r in back.collect()) == [(5, 2), (5, 4), (7, 3), (10**12, 1)]
+    with pytest.raises(ValueError):
+        ids.encode(df, users, "u", unknown="maybe")
