@@ -5,8 +5,14 @@ A text's pre-tokens are its pieces between ASCII white space, each led by the wo
 a prefix and holds the best forward score of segmenting that prefix into vocabulary pieces
 and the number of tokens in that segmentation; the score is computed once, from the node's
 ancestors, when the prefix is first met, and every pre-token that shares the prefix reuses
-it. The node where a pre-token ends thereby holds the pre-token's count. A text's count is
-the sum over its pre-tokens. No row leaves its task, so nothing is shuffled.
+it. The node where a pre-token ends thereby holds the pre-token's count, the terminal count,
+which is kept in a table by pre-token: one that was met before is looked up there and not walked
+again. A text's count is the sum over its pre-tokens. No row leaves its task, so nothing is
+shuffled.
+
+The trie starts again when it outgrows ``TRIE_NODES``. The terminal counts of the generation before stay
+within reach until then and move over when they are met, so a frequent pre-token is never
+scored twice and only what was not met in a whole generation is forgotten.
 
 Scores: the public vocabulary file lists its pieces by rank; the model is Zipf's law over
 these ranks, log p(rank) = -log(rank) - log(sum of 1 / rank). A code point outside the
@@ -29,10 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import on_workers, slices, table, task
+from cadenza.llm.tokens import SLICE
 
 MARK = "▁"
 UNKNOWN = -10.0
-TRIE_NODES = 600_000  # bound of a worker's trie; it starts again beyond
+TRIE_NODES = 600_000  # bound of a worker's trie
+ENDING = 3            # code points by which the longest piece that may end somewhere is looked up
 
 
 @functools.lru_cache(maxsize=2)
@@ -48,37 +56,44 @@ def zipf_scores(path: str) -> dict[str, float]:
 
 
 class Trie:
-    """Prefixes of the inserted pre-tokens with their best score and token count."""
+    """Prefixes of the inserted pre-tokens with their best score and token count; counts by pre-token."""
 
     def __init__(self, scores: dict[str, float]):
-        self.scores, self.longest = scores, max(map(len, scores), default=1)
+        self.scores = scores
         self.unknown = min(scores.values(), default=0.0) + UNKNOWN
+        self.longest: dict[str, int] = {}  # an ending of up to ENDING code points -> length of the longest piece with it
+        for piece in scores:
+            for ending in {piece[-n:] for n in range(1, ENDING + 1)}:
+                self.longest[ending] = max(self.longest.get(ending, 0), len(piece))
+        self.terminal: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.before, self.terminal = self.terminal, {}
+        self.child: list[dict[str, int]] = [{}]
         self.best, self.tokens = [0.0], [0]
 
-    def count(self, word: str) -> int:
-        """Tokens of ``word``; inserts the prefixes not met before."""
+    def insert(self, word: str) -> int:
+        """Tokens of ``word``; scores the prefixes not met before."""
         child, path, node = self.child, [0], 0
-        for i, c in enumerate(word):
-            node = child.get((path[-1], c), -1)
-            if node < 0:
+        for c in word:
+            node = child[node].get(c)
+            if node is None:
                 break
             path.append(node)
-        else:
-            return self.tokens[node]
-        best, tokens, scores = self.best, self.tokens, self.scores
-        for end in range(i + 1, len(word) + 1):
+        best, tokens, score, longest = self.best, self.tokens, self.scores.get, self.longest.get
+        last = path[-1]
+        for end in range(len(path), len(word) + 1):
             c = word[end - 1]
-            top, fewest = best[path[-1]] + self.unknown, -1
-            if c not in scores:
-                fewest = tokens[path[-1]] + len(c.encode())
+            s = score(c)
+            if s is None:  # an unknown code point
+                top, fewest = best[last] + self.unknown, tokens[last] + len(c.encode())
             else:
-                top = -math.inf
-            for start in range(max(0, end - self.longest), end):
-                s = scores.get(word[start:end])
+                top, fewest = best[last] + s, tokens[last] + 1
+            # no piece that ends here is longer than this; without its last code points in a row, none but the short ones
+            most = longest(word[max(0, end - ENDING):end], ENDING - 1)
+            for start in range(end - 2, max(-1, end - most - 1), -1):
+                s = score(word[start:end])
                 if s is not None:
                     at = path[start]
                     s += best[at]
@@ -87,13 +102,24 @@ class Trie:
             node = len(best)
             best.append(top)
             tokens.append(fewest)
-            child[path[-1], c] = node
+            child.append({})
+            child[last][c] = node
             path.append(node)
-        return fewest
+            last = node
+        return tokens[last]
+
+    def count(self, word: str) -> int:
+        known = self.terminal.get(word)
+        if known is None:
+            known = self.before.get(word)
+            if known is None:
+                known = self.insert(word)
+            self.terminal[word] = known
+        return known
 
     def counts(self, words: list[str]) -> np.ndarray:
         """Counts of many pre-tokens; the trie starts again where it has outgrown its bound."""
-        if len(self.best) > TRIE_NODES:
+        if len(self.best) > TRIE_NODES or len(self.terminal) > TRIE_NODES:
             self.clear()
         return np.fromiter(map(self.count, words), np.int64, len(words))
 
@@ -103,14 +129,16 @@ def worker_trie(path: str) -> Trie:
     return Trie(zipf_scores(path))
 
 
-def token_counts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_pretokens, n_tokens`` of every row's whole text; ``vocabulary``: a sentencepiece file."""
+def token_counts(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
+                 slice_bytes: int = SLICE) -> DataFrame:
+    """``doc_id, n_pretokens, n_tokens`` of every row's whole text; ``vocabulary``: a sentencepiece file.
+    A task splits about ``slice_bytes`` of texts at once."""
     on_workers(docs.sparkSession)
 
     def run(batches):
         trie = worker_trie(vocabulary)
         for batch in task(batches):
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", slice_bytes):
                 lists = pc.ascii_split_whitespace(part.column("text").fill_null(""))
                 flat = lists.flatten().dictionary_encode()
                 words = flat.dictionary.to_pylist()
