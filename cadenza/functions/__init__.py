@@ -1,6 +1,5 @@
 """Column-level helpers shared by the operators."""
 
-from cadenza.functions.columns import (blend_arrays, distinct_keep_null, l2_norm, l2_normalize, safe_ratio,
-                                       systematic_sample)
+from cadenza.functions.columns import blend_arrays, l2_norm, safe_ratio, systematic_sample
 
-__all__ = ["blend_arrays", "distinct_keep_null", "l2_norm", "l2_normalize", "safe_ratio", "systematic_sample"]
+__all__ = ["blend_arrays", "l2_norm", "safe_ratio", "systematic_sample"]

@@ -22,31 +22,16 @@ def systematic_sample(seq: Column, every: int = SAMPLE_EVERY, phase: int = SAMPL
     return ((seq + (every - phase)) % every) == 0
 
 
-def distinct_keep_null(values: Column) -> Column:
-    """Aggregate: sorted distinct values, one null kept if any value was null.
-
-    ``collect_set`` drops nulls; collecting one-field structs keeps them, and
-    ``array_distinct`` then keeps a single null. Nulls sort last.
-    """
-    return F.array_sort(F.array_distinct(F.transform(
-        F.collect_list(F.struct(values.alias("v"))), lambda s: s["v"])))
-
-
 def safe_ratio(num: Column, den: Column) -> Column:
     """``num / den`` with 0/0 (and x/0) → 0 instead of an ANSI error."""
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def l2_norm(vec: Column) -> Column:
+def l2_norm(vec: Column | str) -> Column:
+    """Length of a vector column, in double precision."""
     return F.sqrt(F.aggregate(vec, F.lit(0.0).cast("double"), lambda acc, x: acc + x.cast("double") * x))
 
 
-def l2_normalize(vec: Column) -> Column:
-    """Unit vector in double precision; callers drop zero vectors first."""
-    norm = l2_norm(vec)
-    return F.transform(vec, lambda x: x.cast("double") / norm)
-
-
 def blend_arrays(offline: F.Column, online: F.Column, k: F.Column | int) -> F.Column:
     """Array twin of :func:`blend` for list-valued columns.
 

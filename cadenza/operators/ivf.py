@@ -1,6 +1,6 @@
 """Approximate neighbours from an inverted index of cells, with measured recall.
 
-:func:`fit_cells` places cell centres by k-means (Spark ML, cosine distance) on a sample of at most
+:func:`fit_cells` places cell centres by k-means (Spark ML, cosine distance) on a sample of about
 ``SAMPLE_PER_CELL`` vectors a cell; :func:`build_index` then puts every vector, sampled or not, into the
 cell of its nearest centre. A query looks into the ``probes`` cells whose centres are
 nearest to it and compares itself exactly with all vectors there.
@@ -49,9 +49,13 @@ def default_cells(n: int) -> int:
 
 def fit_cells(vectors: DataFrame, cells: int, seed: int = 42, id_col: str = "item_id", vec_col: str = "vector") -> np.ndarray:
     """Unit centres (cells x d; fewer where the data has fewer different directions), from the vectors
-    whose ids hash lowest: ``SAMPLE_PER_CELL`` a cell, so their number follows the cells, not the rows."""
+    whose ids hash below a bound: about ``SAMPLE_PER_CELL`` a cell, so their number follows the cells, not the rows."""
     usable, _ = _usable(vectors, id_col, vec_col)
-    sample = usable.orderBy(F.xxhash64("item_id", F.lit(seed)), "item_id").limit(cells * SAMPLE_PER_CELL)
+    n = usable.count()
+    if not n:
+        return np.zeros((1, 1))
+    share = cells * SAMPLE_PER_CELL / n
+    sample = usable.where(F.pmod(F.xxhash64("item_id", F.lit(seed)), F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40)))
     sample = stored(sample.select(array_to_vector(F.col("v").cast("array<double>")).alias("features")), "cell-sample")
     model = KMeans(k=cells, seed=seed, maxIter=ITERATIONS, initMode="random", distanceMeasure="cosine").fit(sample)
     centres = np.array(model.clusterCenters())
@@ -82,10 +86,11 @@ def in_cells(usable: DataFrame, centres: np.ndarray, probes: int = 1) -> DataFra
 
 
 def packed(placed: DataFrame, dtype: str, block: int = BLOCK) -> DataFrame:
-    """``cell, part, ids, vectors``: each cell's rows in parts of about ``block``, dealt out by a hash."""
+    """``cell, part, ids, vectors``: each cell's rows in parts of about ``block``, dealt out by a hash. What
+    is broadcast is a number per cell."""
     size = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
     pack = _pack(dtype)
-    parted = placed.join(size, "cell").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
+    parted = placed.join(F.broadcast(size), "cell").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
     return parted.groupBy("cell", "part").applyInPandas(
         lambda key, pdf: pack((key[1],), pdf).rename(columns={"block": "part"}).assign(cell=key[0])[["cell", "part", "ids", "vectors"]], SIDE)
 

@@ -10,13 +10,15 @@ back, which also cuts the lineage for the next stage):
   personal_als        ALS top 50 per user                           (M1 M2)
   similar             cosine top 10 over ALS item factors           (M3)
   recommendations     GBT re-ranking of ALS candidates, test users  (M4-M7)
-  models/ranker       Spark ML pipeline model                       (M6)
+  models/als, ranker  Spark ML models                               (M1 M6)
   metrics_summary     CSV, one row per recommendation set           (E5 S10)
 
 The base may be any Hadoop URI (``s3a://``, ``abfss://``, ``hdfs://``, ``file:/``): the
-DataFrame writer is the upload (S9). ``mode="ignore"`` reuses a finished build as a whole and
-touches nothing; where none is finished, and with ``"overwrite"``, everything is rebuilt (S8).
-``build_state`` says which it is, so that artifacts of different builds never meet.
+DataFrame writer is the upload (S9). Reuse (S8): ``mode="ignore"`` takes a finished build as a whole and
+touches nothing; where none is finished, and with ``"overwrite"``, everything is rebuilt.
+``"reuse"`` compares every stage's manifest (:mod:`cadenza.sources.stages`): the files of the
+raw tables, the split and the models' parameters; the stages behind a change are rebuilt, the others kept.
+``build_state`` says whether a build ended, so that artifacts of different builds never meet.
 """
 
 from __future__ import annotations
@@ -25,11 +27,13 @@ import argparse
 import datetime as dt
 
 from pyspark.errors import AnalysisException
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import catalog, cf, clean, metrics, popularity, ranker
 from cadenza.operators.similar import similar_items
 from cadenza.session import job_session
+from cadenza.sources.stages import StageStore
 from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, TRACKS, read_metrics_csv, read_table,
                                     write_metrics_csv, write_stage)
 
@@ -56,46 +60,55 @@ def artifacts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
             "metrics_summary": read_metrics_csv(spark, f"{base}/metrics_summary")}
 
 
+def _save(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
 def build_recommendations(spark: SparkSession, tracks: DataFrame, catalog_names: DataFrame,
                           interactions: DataFrame, out: str, split: dt.datetime = REFERENCE_SPLIT,
                           mode: str = "overwrite", als_params: dict | None = None,
-                          ranker_params: dict | None = None, similar_block: int | None = None) -> dict[str, DataFrame]:
-    """Run every stage; returns scans of the written artifacts by name."""
+                          ranker_params: dict | None = None, similar_block: int | None = None,
+                          inputs: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Run every stage; returns scans of the written artifacts by name. ``inputs`` names the folders
+    that ``tracks``, ``catalog_names`` and ``interactions`` were read from; ``mode="reuse"`` needs them."""
     base = out.rstrip("/")
-    if mode not in ("overwrite", "ignore"):
-        raise ValueError("mode is overwrite or ignore")
+    if mode not in ("overwrite", "ignore", "reuse"):
+        raise ValueError("mode is overwrite, ignore or reuse")
+    if mode == "reuse" and not inputs:
+        raise ValueError("mode reuse needs the folders of the inputs")
     if mode == "ignore" and finished(spark, base):
         return artifacts(spark, base)
 
-    def put(name: str, df: DataFrame, **kw) -> DataFrame:
-        stage[name] = write_stage(df, f"{base}/{name}", **kw)
-        return stage[name]
-
-    stage: dict[str, DataFrame] = {}
-    state = spark.createDataFrame([("building",)], "state string")
-    write_stage(state, f"{base}/build_state")
+    store = StageStore(spark, base, fresh=mode != "reuse")
+    paths = lambda *names: [inputs[n] for n in names] if inputs else []
+    put = store.stage
+    write_stage(spark.createDataFrame([("building",)], "state string"), f"{base}/build_state")
 
-    put("interactions_clean", clean.clean_interactions(interactions, tracks))
-    items = put("items", catalog.build_items(tracks, catalog_names))
-    events = put("events", clean.prepare_events(stage["interactions_clean"], items), range_by=["user_id"])
+    plays = put("interactions_clean", lambda: clean.clean_interactions(interactions, tracks), paths=paths("interactions", "tracks"))
+    items = put("items", lambda: catalog.build_items(tracks, catalog_names), paths=paths("tracks", "catalog_names"))
+    events = put("events", lambda: clean.prepare_events(plays, items), after=["interactions_clean", "items"], range_by=["user_id"])
     train, test = clean.time_split(events, split)
     test_users = test.select("user_id").distinct()
+    when = {"split": split}
 
-    top = put("top_popular", popularity.top_popular(train, items))
-    model = cf.fit_als(cf.interaction_weights(train), **(als_params or {}))
-    personal = put("personal_als", cf.personal_recs(model))
+    top = put("top_popular", lambda: popularity.top_popular(train, items), after=["events", "items"], params=when)
+    put("models/als", lambda: cf.fit_als(cf.interaction_weights(train), **(als_params or {})), after=["events"],
+        params={**when, "als": als_params}, write=_save)
+    model = ALSModel.load(store.folder("models/als"))
+    personal = put("personal_als", lambda: cf.personal_recs(model), after=["models/als"])
     sim_kw = {"block_size": similar_block} if similar_block else {}
-    put("similar", similar_items(cf.item_vectors(model, train), **sim_kw))
-
-    cands = write_stage(ranker.build_candidates(personal, train), f"{base}/candidates")
-    sampled = ranker.sample_users(cands.select("user_id").distinct())
-    rank_model = ranker.fit_ranker(cands, sampled, **(ranker_params or {}))
-    ranker.save_ranker(rank_model, f"{base}/models/ranker")
-    recs = put("recommendations", ranker.rank_candidates(rank_model, cands, test_users), range_by=["user_id"])
-
-    summary = metrics.evaluate_many({"Top popular": popularity.popular_as_recs(top, test_users),
-                                     "Personal ALS": personal, "Final ranked": recs}, train, test, items)
-    write_metrics_csv(summary, f"{base}/metrics_summary")
+    put("similar", lambda: similar_items(cf.item_vectors(model, train), **sim_kw), after=["models/als"])
+
+    cands = put("candidates", lambda: ranker.build_candidates(personal, train), after=["personal_als"], params=when)
+    put("models/ranker", lambda: ranker.fit_ranker(cands, ranker.sample_users(cands.select("user_id").distinct()), **(ranker_params or {})),
+        after=["candidates"], params={"ranker": ranker_params}, write=_save)
+    rank_model = ranker.load_ranker(store.folder("models/ranker"))
+    recs = put("recommendations", lambda: ranker.rank_candidates(rank_model, cands, test_users), after=["models/ranker"],
+               params=when, range_by=["user_id"])
+
+    put("metrics_summary", lambda: metrics.evaluate_many(
+        {"Top popular": popularity.popular_as_recs(top, test_users), "Personal ALS": personal, "Final ranked": recs}, train, test, items),
+        after=["top_popular", "personal_als", "recommendations"], params=when, write=write_metrics_csv)
     write_stage(spark.createDataFrame([("finished",)], "state string"), f"{base}/build_state")
     return artifacts(spark, base)
 
@@ -107,13 +120,14 @@ def main() -> None:
     parser.add_argument("--interactions", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--split", default=REFERENCE_SPLIT.isoformat())
-    parser.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore"])
+    parser.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore", "reuse"])
     args = parser.parse_args()
     spark = job_session("cadenza-build", [args.tracks, args.catalog_names, args.interactions])
     build_recommendations(
         spark, read_table(spark, args.tracks, TRACKS), read_table(spark, args.catalog_names, CATALOG_NAMES),
         read_table(spark, args.interactions, INTERACTIONS), args.out,
-        split=dt.datetime.fromisoformat(args.split), mode=args.mode)
+        split=dt.datetime.fromisoformat(args.split), mode=args.mode,
+        inputs={"tracks": args.tracks, "catalog_names": args.catalog_names, "interactions": args.interactions})
 
 
 if __name__ == "__main__":

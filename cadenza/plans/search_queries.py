@@ -103,10 +103,10 @@ UNION ALL SELECT 'indexed', CAST(count(*) AS DOUBLE) FROM embeddings
 UNION ALL SELECT 'short_items', CAST(0 AS DOUBLE)""",
     "dense_ids": "WITH " + BASE + """,
 own AS (SELECT 'u-' || user_id AS u, CAST(item_id AS BIGINT) * 1000000000000 AS i FROM train),
-users AS (SELECT u, row_number() OVER (ORDER BY u) - 1 AS code FROM (SELECT DISTINCT u FROM own)),
-items AS (SELECT i, row_number() OVER (ORDER BY i) - 1 AS code FROM (SELECT DISTINCT i FROM own))
-SELECT CAST(users.code AS INTEGER) AS user_code, own.u AS "user", CAST(items.code AS INTEGER) AS item_code, own.i AS item, count(*) AS plays
-FROM own JOIN users ON users.u = own.u JOIN items ON items.i = own.i GROUP BY ALL""",
+user_codes AS (SELECT u, row_number() OVER (ORDER BY u) - 1 AS code FROM (SELECT DISTINCT u FROM own)),
+item_codes AS (SELECT i, row_number() OVER (ORDER BY i) - 1 AS code FROM (SELECT DISTINCT i FROM own))
+SELECT CAST(user_codes.code AS INTEGER) AS user_code, own.u AS "user", CAST(item_codes.code AS INTEGER) AS item_code, own.i AS item, count(*) AS plays
+FROM own JOIN user_codes ON user_codes.u = own.u JOIN item_codes ON item_codes.i = own.i GROUP BY ALL""",
     "offline_recs_bucketed": ORACLES["offline_recs"],
     "offline_recs_bitmaps": ORACLES["offline_recs"],
     "footer_summary": "WITH " + BASE + """

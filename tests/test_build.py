@@ -37,6 +37,35 @@ def test_build_writes_all_stages_and_reuses(spark, fx):
     assert not {f for f in before if f.endswith(".parquet")} & set(after)
 
 
+def test_reuse_rebuilds_what_is_behind_a_change(spark, fx, tmp_path):
+    import datetime as dt
+    import json
+
+    inputs = {"tracks": f"{tmp_path}/tracks", "catalog_names": f"{tmp_path}/names", "interactions": f"{tmp_path}/plays"}
+    for name, df in (("tracks", fx.tracks), ("catalog_names", fx.catalog_names), ("interactions", fx.interactions)):
+        df.write.parquet(inputs[name])
+    out = f"{tmp_path}/out"
+
+    def run(split=SPLIT_INSTANT, **ranker):
+        raw = [spark.read.parquet(inputs[n]) for n in ("tracks", "catalog_names", "interactions")]
+        build_recommendations(spark, *raw, out, split=split, mode="reuse", inputs=inputs,
+                              als_params={"rank": 4, "max_iter": 1}, ranker_params={"max_iter": 2, "depth": 2, **ranker})
+        return {os.path.relpath(os.path.join(d, f), f"{out}/_manifests")[:-5]: os.path.getmtime(os.path.join(d, f))
+                for d, _, names in os.walk(f"{out}/_manifests") for f in names if f.endswith(".json")}
+
+    first = run()
+    assert set(first) == {"interactions_clean", "items", "events", "top_popular", "models/als", "personal_als", "similar",
+                          "candidates", "models/ranker", "recommendations", "metrics_summary"}
+    changed = lambda a, b: {n for n in b if a[n] != b[n]}
+    second = run()
+    assert changed(first, second) == set()
+    third = run(depth=3)
+    assert changed(second, third) == {"models/ranker", "recommendations", "metrics_summary"}
+    fourth = run(SPLIT_INSTANT - dt.timedelta(days=30), depth=3)
+    assert changed(third, fourth) == set(first) - {"interactions_clean", "items", "events"}
+    assert json.load(open(f"{out}/_manifests/top_popular.json"))["params"] == {"split": str(SPLIT_INSTANT - dt.timedelta(days=30))}
+
+
 def test_serve_answers_requests_from_built_artifacts(spark, fx):
     from pyspark.sql import functions as F
 

@@ -146,6 +146,11 @@ def test_all_probes_are_the_exact_search(spark, cloud):
     assert got == true_neighbours(cloud[:200], np.arange(200), 4)
 
 
+def test_index_of_an_empty_table(spark, cloud):
+    found, measured = ivf.similar_items_ivf(vectors(spark, cloud[:3], "item_id").where("false"))
+    assert found.collect() == [] and measured["true_pairs"] == 0 and measured["probes"] == 1
+
+
 def test_calibrated_probes_is_the_least_number(spark):
     places = spark.createDataFrame([(1, i, p) for i, p in enumerate([1] * 6 + [2] * 2 + [5, 9])], "item_id_1 int, item_id_2 int, place int")
     assert [ivf.calibrated_probes(places, r) for r in (0.6, 0.8, 0.9, 1.0)] == [1, 2, 5, 9]
