@@ -3,7 +3,8 @@
 Documents are cut every ``length`` tokens; what remains of each is a piece of 1 to
 ``length`` tokens. Piece lengths, rounded up to the width of a length class, form a histogram of about
 ``CLASSES`` classes: the demands of a cutting-stock problem whose stock is the
-sequence. The driver solves its linear program over that histogram (whose size does not
+sequence. Short pieces would lose much to that rounding, so as many of one exact length as a class
+is wide are bundled: ten pieces of 7 tokens, at a width of 10, are one piece of class 7 and waste nothing. The driver solves its linear program over that histogram (whose size does not
 depend on the data) by column generation: a basis of patterns, and a knapsack dynamic
 program that prices the pattern to enter. The solution is rounded down, the few pieces left
 over are packed by best fit on their classes, and Spark assigns pattern places to pieces:
@@ -200,6 +201,49 @@ def ranked(pieces: DataFrame, keys: list[str]) -> DataFrame:
             .withColumn("rank", F.col("row") - F.col("first_row") + F.col("base")).drop("task", "row", "first_row", "base"))
 
 
+@dataclass
+class Classes:
+    """From a piece's key and rank to its place among all pieces of a class of the linear program.
+
+    Keys: the length class of a long piece; minus the exact length of a short one, of which each
+    ``unit`` in rank order make a bundle, of class ``length``, and the rest are rounded up.
+    Within a class long pieces come first, then bundles, then the rest, shortest first.
+    """
+
+    unit: int
+    demand: dict[int, int]   # class -> pieces and bundles
+    bundles: np.ndarray      # exact length -> bundles
+    bundle_at: np.ndarray    # exact length -> place of its first bundle in class ``length``
+    rest_at: np.ndarray      # exact length -> place of its first other piece in the class it is rounded up to
+
+    def places(self, key: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class, place in it, and place inside the bundle (0 without one)."""
+        exact = np.maximum(-key, 0)
+        whole = self.bundles[exact] * self.unit
+        bundled = (key < 0) & (rank < whole)
+        place = np.where(key > 0, rank, np.where(bundled, self.bundle_at[exact] + rank // self.unit, self.rest_at[exact] + rank - whole))
+        cls = np.where(key > 0, key, np.where(bundled, exact, -(-exact // self.unit)))
+        return cls, place, np.where(bundled, rank % self.unit, 0)
+
+
+def bundled_classes(histogram: dict[int, int], unit: int, short: int) -> Classes:
+    """The classes for a histogram {key: pieces}; lengths up to ``short`` are bundled."""
+    demand = {k: n for k, n in histogram.items() if k > 0}
+    bundles, bundle_at, rest_at = (np.zeros(short + 1, np.int64) for _ in range(3))
+    for exact in range(1, short + 1):
+        bundles[exact] = histogram.get(-exact, 0) // unit
+        if bundles[exact]:
+            bundle_at[exact] = demand.get(exact, 0)
+            demand[exact] = demand.get(exact, 0) + int(bundles[exact])
+    for exact in range(1, short + 1):
+        rest = histogram.get(-exact, 0) - int(bundles[exact]) * unit
+        if rest:
+            cls = -(-exact // unit)
+            rest_at[exact] = demand.get(cls, 0)
+            demand[cls] = demand.get(cls, 0) + rest
+    return Classes(unit, demand, bundles, bundle_at, rest_at)
+
+
 def pack(pieces: DataFrame, length: int, classes: int = CLASSES, gap: float = GAP) -> DataFrame:
     """``pieces`` (columns doc_id, start, length and any others) with sequence_id and offset.
 
@@ -210,20 +254,23 @@ def pack(pieces: DataFrame, length: int, classes: int = CLASSES, gap: float = GA
     on_workers(spark)
     unit = max(1, length // classes)  # tokens per class
     capacity = length // unit
-    cls = F.least(F.ceil(F.col("length") / unit), F.lit(capacity)).cast("int")  # the longest pieces fill a sequence
-    rows = staged(pieces.withColumn("cls", cls), "pieces")
-    plan = plan_patterns({r.cls: r["count"] for r in rows.groupBy("cls").count().collect()}, capacity, gap)
-    shared = spark.sparkContext.broadcast(plan)
+    short = capacity // 2 if unit > 1 else 0  # two bundles at least fit a sequence
+    rounded_up = F.least(F.ceil(F.col("length") / unit), F.lit(capacity)).cast("int")  # the longest pieces fill a sequence
+    key = F.when(F.col("length") <= short, -F.col("length").cast("int")).otherwise(rounded_up)
+    rows = staged(pieces.withColumn("cls", key), "pieces")
+    own = bundled_classes({r.cls: r["count"] for r in rows.groupBy("cls").count().collect()}, unit, short)
+    shared = spark.sparkContext.broadcast((own, plan_patterns(own.demand, capacity, gap)))
     fields = [f for f in rows.schema.fields if f.name != "cls"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "sequence_id long", "slot long"])
 
     def assign(batches):
+        own, plan = shared.value
         for batch in batches:
-            cls = batch.column("cls").to_numpy()
-            first = np.fromiter((shared.value.first[c] for c in cls.tolist()), np.int64, len(cls))
-            sequence, slot = shared.value.place(first + batch.column("rank").to_numpy())
+            cls, place, inner = own.places(batch.column("cls").to_numpy().astype(np.int64), batch.column("rank").to_numpy())
+            first = np.fromiter((plan.first[c] for c in cls.tolist()), np.int64, len(cls))
+            sequence, slot = plan.place(first + place)
             kept = {f.name: batch.column(f.name) for f in fields}
-            yield pa.RecordBatch.from_pydict(kept | {"sequence_id": pa.array(sequence), "slot": pa.array(slot)})
+            yield pa.RecordBatch.from_pydict(kept | {"sequence_id": pa.array(sequence), "slot": pa.array(slot * own.unit + inner)})
 
     placed = ranked(rows, ["doc_id", "start"]).mapInArrow(assign, schema)
     before = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
