@@ -49,7 +49,9 @@ def winnow(df: DataFrame, text: str, out: str, gram: int = GRAM, window: int = W
 def winnow_edit(df: DataFrame, text: str, edited: str, kept: Column, out: tuple[str, str],
                 gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``df`` with the selections of ``text`` and of ``edited``, two texts alike in their first
-    ``kept`` code points. Windows wholly among these are gone through once for both."""
+    ``kept`` code points. Windows wholly among these are gone through once for both; what is behind
+    them is a text of its own only where there are no such windows, so a tail too short for a
+    window then selects nothing, as in a text that is gone through at once."""
     span = gram + window - 1
     same, head, tail = (f"_{out[0]}_{x}" for x in ("cut", "head", "tail"))
     df = df.withColumn(same, F.greatest(kept - (span - 1), F.lit(0)))  # the first window that an edit can change
@@ -58,7 +60,9 @@ def winnow_edit(df: DataFrame, text: str, edited: str, kept: Column, out: tuple[
     for column, name in ((text, out[0]), (edited, out[1])):
         df = df.withColumn(tail, F.substring(column, F.col(same) + 1, F.char_length(column)))
         df = winnow(df, tail, name, gram, window)
-        df = df.withColumn(name, F.expr(f"array_union(`{head}_s`, transform(`{name}`, v -> v - `{same}`))"))
+        df = df.withColumn(name, F.expr(
+            f"if(`{same}` > 0 and char_length(`{tail}`) < {span}, `{head}_s`, "
+            f"array_union(`{head}_s`, transform(`{name}`, v -> v - `{same}`)))"))
     return df.drop(same, head, head + "_s", tail)
 
 
