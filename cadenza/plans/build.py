@@ -29,12 +29,13 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadenza.operators import catalog, cf, clean, metrics, popularity, ranker
+from cadenza.operators import catalog, cf, clean, ids, metrics, popularity, ranker
 from cadenza.operators.similar import similar_items
 from cadenza.session import job_session
 from cadenza.sources.stages import StageStore
-from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, TRACKS, read_metrics_csv, read_table,
+from cadenza.sources.tables import (CATALOG_NAMES, INTERACTIONS, TRACKS, conform, read_metrics_csv, read_table,
                                     write_metrics_csv, write_stage)
 
 # Fixed value of the original pipeline: the global split instant.
@@ -113,6 +114,24 @@ def build_recommendations(spark: SparkSession, tracks: DataFrame, catalog_names:
     return artifacts(spark, base)
 
 
+def with_dense_ids(spark: SparkSession, tracks: DataFrame, catalog_names: DataFrame, interactions: DataFrame,
+                   out: str, inputs: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The raw tables with INT codes for users and tracks named by ids of any type (J7). The indexes are
+    stages ``ids/users`` and ``ids/tracks`` of ``out`` (``id, code``), by which :func:`cadenza.operators.ids.decode`
+    turns any artifact's codes back. Ids of albums, artists and genres are INT, or text of an INT."""
+    store = StageStore(spark, out.rstrip("/"))
+    users = store.stage("ids/users", lambda: ids.dense_index(interactions, "user_id"), paths=[inputs["interactions"]])
+    named = (tracks.select("track_id").unionByName(interactions.select("track_id"))
+             .unionByName(catalog_names.where("type = 'track'").select(F.col("id").cast(tracks.schema["track_id"].dataType).alias("track_id"))))
+    items = store.stage("ids/tracks", lambda: ids.dense_index(named, "track_id"), paths=list(inputs.values()))
+    is_track = F.col("type") == "track"
+    names = (ids.encode(catalog_names.where(is_track), items, "id").select("id", "type", "name")
+             .unionByName(catalog_names.where(~is_track).select(F.col("id").cast("int").alias("id"), "type", "name")))
+    plays = ids.encode(ids.encode(interactions, users, "user_id"), items, "track_id")
+    return tuple(conform(df, schema) for df, schema in (
+        (ids.encode(tracks, items, "track_id"), TRACKS), (names, CATALOG_NAMES), (plays, INTERACTIONS)))
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Build all recommendation artifacts.")
     parser.add_argument("--tracks", required=True)
@@ -121,13 +140,15 @@ def main() -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--split", default=REFERENCE_SPLIT.isoformat())
     parser.add_argument("--mode", default="overwrite", choices=["overwrite", "ignore", "reuse"])
+    parser.add_argument("--any-ids", action="store_true", help="users and tracks are named by BIGINT or text: encode them")
     args = parser.parse_args()
-    spark = job_session("cadenza-build", [args.tracks, args.catalog_names, args.interactions])
-    build_recommendations(
-        spark, read_table(spark, args.tracks, TRACKS), read_table(spark, args.catalog_names, CATALOG_NAMES),
-        read_table(spark, args.interactions, INTERACTIONS), args.out,
-        split=dt.datetime.fromisoformat(args.split), mode=args.mode,
-        inputs={"tracks": args.tracks, "catalog_names": args.catalog_names, "interactions": args.interactions})
+    inputs = {"tracks": args.tracks, "catalog_names": args.catalog_names, "interactions": args.interactions}
+    spark = job_session("cadenza-build", list(inputs.values()))
+    if args.any_ids:
+        raw = with_dense_ids(spark, *(read_table(spark, p) for p in inputs.values()), args.out, inputs)
+    else:
+        raw = [read_table(spark, p, schema) for p, schema in zip(inputs.values(), (TRACKS, CATALOG_NAMES, INTERACTIONS))]
+    build_recommendations(spark, *raw, args.out, split=dt.datetime.fromisoformat(args.split), mode=args.mode, inputs=inputs)
 
 
 if __name__ == "__main__":

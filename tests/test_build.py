@@ -66,6 +66,29 @@ def test_reuse_rebuilds_what_is_behind_a_change(spark, fx, tmp_path):
     assert json.load(open(f"{out}/_manifests/top_popular.json"))["params"] == {"split": str(SPLIT_INSTANT - dt.timedelta(days=30))}
 
 
+def test_tables_under_text_ids_give_the_same_lists(spark, fx, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cadenza.operators import catalog, clean, ids, popularity
+    from cadenza.plans.build import with_dense_ids
+
+    inputs = {n: f"{tmp_path}/{n}" for n in ("tracks", "catalog_names", "interactions")}
+    track = lambda c: F.format_string("t%09d", c)
+    fx.tracks.withColumn("track_id", track("track_id")).write.parquet(inputs["tracks"])
+    fx.catalog_names.withColumn("id", F.when(F.col("type") == "track", track("id")).otherwise(F.col("id").cast("string"))).write.parquet(inputs["catalog_names"])
+    (fx.interactions.withColumn("track_id", track("track_id")).withColumn("user_id", F.col("user_id") + F.lit(10**15))
+     .write.parquet(inputs["interactions"]))
+    tracks, names, plays = with_dense_ids(spark, *(spark.read.parquet(p) for p in inputs.values()), f"{tmp_path}/out", inputs)
+    assert plays.count() == fx.interactions.count() and dict(plays.dtypes)["user_id"] == "int"
+    items = catalog.build_items(tracks, names)
+    train, _ = clean.time_split(clean.prepare_events(clean.clean_interactions(plays, tracks), items), SPLIT_INSTANT)
+    index = spark.read.parquet(f"{tmp_path}/out/ids/tracks")
+    got = ids.decode(popularity.top_popular(train, items), index, "item_id", "track")
+    want = fx.top_popular.withColumn("track", track("item_id"))
+    cols = ["track", "plays", "users", "rank", "name", "genres"]
+    assert [tuple(r) for r in got.select(cols).orderBy("rank").collect()] == [tuple(r) for r in want.select(cols).orderBy("rank").collect()]
+
+
 def test_serve_answers_requests_from_built_artifacts(spark, fx):
     from pyspark.sql import functions as F
 
