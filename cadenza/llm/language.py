@@ -38,11 +38,15 @@ from cadenza.llm.subwords import char_ngrams, distinct_words
 BUCKETS = 1 << 16
 SIZES = range(2, 6)
 SAMPLE = 300           # labelled rows of each language that are learned from, at most
-MOST_LANGUAGES = 100   # the most frequent ones are learned
-SAMPLE_CHARS = 10_000  # longer texts are not learned from (they are labelled whole)
+SAMPLE_CHARS = 10_000  # of a longer text so many code points are learned from (it is labelled whole), in
+SAMPLE_STRETCHES = 4   # so many stretches
+SAMPLE_TOTAL = 60_000_000  # code points that are learned from, at most, shared by all languages alike
+SLICE = 24 << 20       # bytes of text that are labelled at once, divided by the number of languages
+BLOCK_NUMBERS = 12_000_000  # numbers in the transfer matrices of the texts that are labelled at once
 SEQUENCE, STRETCH = 64, (4, 32)
 STEPS, BATCH, RATE, DECAY = 300, 48, 0.2, 1e-4
 OWNED, SEEN = 0.9, 3   # a lexicon word: so often in one language, so often in all
+RUNS, RUN_SEEN = 1 << 21, 3  # buckets of three-letter runs, and how often a run is met to count as trained
 BLOCK = 128
 UNKNOWN = "und"
 
@@ -59,6 +63,13 @@ class Model:
     lexicon_weights: np.ndarray      # owner x languages
     transitions: np.ndarray          # from x to
     start: np.ndarray
+    trained: np.ndarray              # bits: the hashed three-letter runs that the training texts hold
+
+    def supported(self, words: list[str]) -> np.ndarray:
+        """Whether training has met every three-letter run of ``<word>``."""
+        bucket, word = runs(words)
+        met = np.unpackbits(self.trained, count=RUNS)[bucket]
+        return np.bincount(word, weights=1 - met.astype(float), minlength=len(words)) == 0
 
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores (words x languages) and whether each word holds a letter; others score zero."""
@@ -75,6 +86,18 @@ class Model:
         return out, letter
 
 
+def runs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word) of the three-letter runs of every marked word."""
+    bucket, word = char_ngrams(words, range(3, 4), RUNS)
+    return bucket[:len(bucket) - len(words)], word[:len(word) - len(words)]  # the whole words come last
+
+
+def trained_runs(words: list[str], times: np.ndarray) -> np.ndarray:
+    """Bits of the runs that occur RUN_SEEN times at least, where word i occurs ``times[i]`` times."""
+    bucket, word = runs(words)
+    return np.packbits(np.bincount(bucket, weights=times[word], minlength=RUNS) >= RUN_SEEN)
+
+
 def posteriors(scores: np.ndarray, bounds: np.ndarray, transitions: np.ndarray, start: np.ndarray,
                block: int = BLOCK) -> np.ndarray:
     """Forward-backward of many sequences laid end to end: P(label | sequence) of every position."""
@@ -186,7 +209,8 @@ def fit(texts: list[str], labels: list[str], seed: int = 0) -> Model | None:
         texts_with[w] += n
     lexicon = {words[w]: y for (w, y), n in counts.items()
                if letter[w] and texts_with[w] >= SEEN and n >= OWNED * texts_with[w]}
-    model = Model(languages, np.zeros((BUCKETS, k)), lexicon, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k))
+    model = Model(languages, np.zeros((BUCKETS, k)), lexicon, np.zeros((k, k)), np.zeros((k, k)), np.zeros(k),
+                  trained_runs(words, np.bincount(codes, minlength=len(words))))
 
     bucket, word = char_ngrams(words, SIZES, BUCKETS)
     bucket, grams = bucket[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
@@ -228,41 +252,56 @@ def fit(texts: list[str], labels: list[str], seed: int = 0) -> Model | None:
 
 
 def labelled_sample(docs: DataFrame, per_language: int = SAMPLE) -> tuple[list[str], list[str]]:
-    """Texts and languages to learn from: of each of the MOST_LANGUAGES most frequent languages
-    the rows whose ids hash lowest, outside the held-out quarter, ``per_language`` at most."""
-    fitting = docs.where(~is_held_out() & F.col("lang").isNotNull() & (F.char_length("text") <= SAMPLE_CHARS)
-                         & (F.trim("text") != ""))
-    common = fitting.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
-    fitting = fitting.where(F.col("lang").isin([r.lang for r in common.collect()]))
+    """Texts and languages to learn from: of every language the rows whose ids hash lowest, outside
+    the held-out quarter, ``per_language`` at most, or as many fewer as keep all of them
+    together within SAMPLE_TOTAL code points. Texts above SAMPLE_CHARS give as many code points, in
+    SAMPLE_STRETCHES stretches from anywhere in them."""
+    fitting = docs.where(~is_held_out() & F.col("lang").isNotNull() & (F.trim("text") != ""))
+    languages = max(1, fitting.select("lang").distinct().count())
+    per_language = max(1, min(per_language, SAMPLE_TOTAL // (languages * SAMPLE_CHARS)))
     order = Window.partitionBy("lang").orderBy("h")
     chosen = (fitting.select("lang", F.xxhash64("doc_id").alias("h")).withColumn("nth", F.row_number().over(order))
               .where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("h").alias("upto")))
     rows = fitting.join(F.broadcast(chosen), "lang").where(F.xxhash64("doc_id") <= F.col("upto"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    rows = rows.select("lang", "text", F.row_number().over(order).alias("nth")).where(F.col("nth") <= per_language)
+    n, part = F.char_length("text"), SAMPLE_CHARS // SAMPLE_STRETCHES
+    stretch = lambda i: F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(i)), n - part) + 1).cast("int"), F.lit(part))
+    text = F.when(n <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat_ws(" ", *map(stretch, range(SAMPLE_STRETCHES))))
+    rows = rows.select("lang", text.alias("text"), F.row_number().over(order).alias("nth")).where(F.col("nth") <= per_language)
     rows = sorted(rows.collect(), key=lambda r: (r.lang, r.nth))
     return [r.text for r in rows], [r.lang for r in rows]
 
 
 def with_languages(docs: DataFrame, model: Model | None, words: bool = False, text: str = "text",
-                   out: tuple[str, str, str] = ("lang_pred", "score", "labels")) -> DataFrame:
+                   out: tuple[str, str, str] = ("lang_pred", "score", "labels"), evidence: str | None = None) -> DataFrame:
     """``docs`` with the language and its score in the first two of the ``out`` columns, and with
     ``words`` in the third array<struct<word, language, p>> of the lower-cased words in order.
-    The names must be new to ``docs``."""
+    The names must be new to ``docs``.
+
+    The score shares 1 among the learned languages, so it is high for a text in any other one, too.
+    ``evidence`` names a column for the share of the words with a letter that training supports, all
+    of whose three-letter runs it has met: low for a text in a language that was not learned,
+    however many were."""
     spark = docs.sparkSession
     on_workers(spark)
-    new = list(out[:2 + words])
+    new = [*out[:2 + words], *([evidence] if evidence else [])]
     if set(new) & set(docs.columns):
         raise ValueError(f"documents already have one of {new}")
     shared = spark.sparkContext.broadcast(model)
     labels = "array<struct<word: string, language: string, p: double>>"
 
+    def parts(batch, k):
+        """Runs of rows that are labelled at once: the work holds k numbers a word and k * k a block."""
+        rows = max(64, BLOCK_NUMBERS // (k * k))
+        for part in slices(batch, text, max(1 << 16, min(3 << 20, SLICE // k))):
+            yield from (part.slice(at, rows) for at in range(0, part.num_rows, rows))
+
     def run(batches):
         model = shared.value
         for batch in task(batches):
-            for part in slices(batch, text):
+            for part in parts(batch, len(model.languages) if model else 1):
                 n = part.num_rows
-                names, score, own = [UNKNOWN] * n, np.zeros(n), [[]] * n
+                names, score, share, own = [UNKNOWN] * n, np.zeros(n), np.zeros(n), [[]] * n
                 if model is not None:
                     said, codes, bounds = distinct_words(part.column(text))
                     emission, letter = model.emissions(said)
@@ -270,6 +309,9 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
                     votes = np.concatenate([np.zeros((1, p.shape[1])), np.cumsum(p * letter[codes][:, None], axis=0)])
                     heard = np.concatenate([[0], np.cumsum(letter[codes])])
                     total = heard[bounds[1:]] - heard[bounds[:-1]]
+                    if evidence:
+                        met = np.concatenate([[0], np.cumsum((letter & model.supported(said))[codes])])
+                        share = (met[bounds[1:]] - met[bounds[:-1]]) / np.maximum(total, 1)
                     mean = (votes[bounds[1:]] - votes[bounds[:-1]]) / np.maximum(total, 1)[:, None]
                     best = mean.argmax(axis=1)
                     names = [model.languages[b] if t else UNKNOWN for b, t in zip(best.tolist(), total.tolist())]
@@ -282,11 +324,15 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
                 columns = [*part.columns, pa.array(names, pa.string()), pa.array(score)]
                 if words:
                     columns.append(pa.array(own, pa.list_(pa.struct([("word", pa.string()), ("language", pa.string()), ("p", pa.float64())]))))
+                if evidence:
+                    columns.append(pa.array(share))
                 yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, *new])
 
     fields = [T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())]
     if words:
         fields.append(T.StructField(out[2], T.DataType.fromDDL(labels)))
+    if evidence:
+        fields.append(T.StructField(evidence, T.DoubleType()))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 

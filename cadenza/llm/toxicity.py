@@ -30,11 +30,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadenza.llm.common import give_back, is_held_out, on_workers, ragged, slices, table, task
+from cadenza.llm.common import give_back, is_held_out, on_workers, ragged, slices, staged, table, task
 from cadenza.llm.subwords import char_ngrams, distinct_words
 
 BUCKETS, DIMENSIONS = 1 << 17, 8
@@ -42,7 +42,9 @@ SIZES = range(3, 7)
 WINDOW = 32
 THRESHOLD = 0.3
 SAMPLE = {1: 2000, 0: 3500}  # labelled rows of each class that are learned from, at most
-SAMPLE_CHARS = 6_000         # longer texts are not learned from (they are scored whole)
+SAMPLE_CHARS = 6_000         # of a longer text so many code points are learned from (it is scored whole), in
+SAMPLE_STRETCHES = 3         # so many stretches
+HASH_BUCKETS = 4096
 ROUNDS, RANDOM_ROUNDS, BATCH, RATE = 9, 3, 64, 0.3
 DECAY = 1e-3                 # pull of the touched parameters towards zero
 CALIBRATION = 5
@@ -217,16 +219,40 @@ def learned_labels(labels: DataFrame, sample: dict[int, int] = SAMPLE) -> DataFr
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> tuple[list[str], list[int]]:
-    """Texts and labels to learn from: of each class the rows whose ids hash lowest, outside
-    the held-out quarter. As many rows as ``sample`` names reach the driver, at most."""
-    own = learned_labels(labels, sample)
-    least = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    quota = F.element_at(F.create_map(*[F.lit(x) for kv in sample.items() for x in kv]), F.col("toxic"))
-    fitting = docs.where(F.char_length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-    chosen = own.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= max(sample.values())).where(F.col("nth") <= quota)
-    rows = fitting.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
-    rows = sorted(rows.select("doc_id", "toxic", "text").limit(2 * sum(sample.values())).collect())
-    return [r.text for r in rows], [r.toxic for r in rows]
+    """Texts and labels to learn from: of each class as many labelled texts as ``sample`` names, those
+    of up to SAMPLE_CHARS code points first, by lowest hash of (doc_id, text), outside the held-out
+    quarter. Where these are too few, longer texts follow, as SAMPLE_STRETCHES stretches from anywhere in them. A
+    row that is there many times is learned once.
+
+    The hash that ends each class's share is found in a histogram of HASH_BUCKETS buckets; only the rows up to
+    it reach the driver, at first as hashes."""
+    own = learned_labels(labels, sample).distinct()
+    key = F.xxhash64("doc_id", "text")
+    known = docs.where(F.col("text").isNotNull()).select("doc_id", key.alias("h"), (F.char_length("text") > SAMPLE_CHARS).cast("int").alias("long"))
+    bucket = F.col("long") * HASH_BUCKETS + F.pmod("h", F.lit(HASH_BUCKETS))
+    rows = staged(known.join(own, "doc_id").select("toxic", bucket.cast("int").alias("bucket"), "h", "doc_id").distinct(), "labelled")
+    counts = sorted((r.toxic, r.bucket, r["count"]) for r in rows.groupBy("toxic", "bucket").count().collect())
+    wanted = F.lit(False)
+    for toxic, quota in sample.items():
+        got = 0
+        for _, b, n in (c for c in counts if c[0] == toxic):
+            last, got = b, got + n
+            if got >= quota:
+                break
+        if got:
+            wanted |= (F.col("toxic") == toxic) & (F.col("bucket") <= last)
+    chosen = sorted(tuple(r) for r in rows.where(wanted).select("toxic", "bucket", "h", "doc_id").collect())
+    chosen = [r for toxic, quota in sample.items() for r in [c for c in chosen if c[0] == toxic][:quota]]
+    side = docs.sparkSession.createDataFrame([(t, h, i) for t, _, h, i in chosen], T.StructType([
+        T.StructField("toxic", T.IntegerType()), T.StructField("h", T.LongType()), docs.schema["doc_id"]]))
+    n = F.char_length("text")
+    part = SAMPLE_CHARS // SAMPLE_STRETCHES
+    stretch = lambda i: F.substring("text", (F.pmod(F.xxhash64("h", F.lit(i)), n - part) + 1).cast("int"), F.lit(part))
+    text = F.when(n <= SAMPLE_CHARS, F.col("text")).otherwise(F.concat_ws(" ", *map(stretch, range(SAMPLE_STRETCHES))))
+    found = (docs.select("doc_id", "text").join(F.broadcast(side), "doc_id").where(key == F.col("h"))
+             .select("doc_id", "toxic", "h", text.alias("text")).dropDuplicates(["doc_id", "toxic", "h"]))
+    rows = sorted((r.doc_id, r.toxic, r.text) for r in found.collect())
+    return [text for _, _, text in rows], [toxic for _, toxic, _ in rows]
 
 
 def with_toxicity(docs: DataFrame, model: Model | None, out: str = "score", text: str = "text") -> DataFrame:

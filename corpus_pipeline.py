@@ -20,16 +20,17 @@ from pyspark.sql import functions as F
 from cadenza.llm import decontamination, language, packing, simhash, toxicity
 from cadenza.llm.common import free_name, staged, table
 
-MIN_LANGUAGE_SCORE = 0.35  # a mean posterior below says that no learned language fits
+MIN_EVIDENCE = 0.5  # a text of whose words training supports a smaller share is in no learned language
 TOKENIZER = "word_bpe_49k.json"
 END_ID, SEQUENCE = 2, 4096
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages."""
-    name, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    found = language.with_languages(docs, language.fitted(docs), out=(name, score, ""))
-    return found.where((F.col(name) != language.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    """Documents in one of the learned languages, by the share of their words that training supports
+    (the score can't tell: it is shared among the learned languages whatever the text is in)."""
+    name, score, evidence = (free_name(docs, n) for n in ("lang_pred", "lang_score", "lang_evidence"))
+    found = language.with_languages(docs, language.fitted(docs), out=(name, score, ""), evidence=evidence)
+    return found.where((F.col(name) != language.UNKNOWN) & (F.col(evidence) >= MIN_EVIDENCE)).select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

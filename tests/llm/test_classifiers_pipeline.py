@@ -237,3 +237,78 @@ def test_pipeline_on_odd_tables(spark, tmp_path, rows):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0  # nothing is labelled: no language is known
+
+
+def test_every_language_is_learned_also_from_long_texts_alone(spark):
+    """101 languages of words of their own, one of them in texts above SAMPLE_CHARS only."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {y: ["".join(rng.choices(letters, k=rng.randrange(4, 8))) for _ in range(25)] for y in (f"l{i:03d}" for i in range(101))}
+    say = lambda y, n: " ".join(rng.choices(words[y], k=n))
+    rows = [(say(y, 3000 if y == "l100" else 60), y) for y in words for _ in range(12)]
+    docs = spark.createDataFrame([(i, t, y, None, None, None) for i, (t, y) in enumerate(rows)], DOCS)
+    texts, langs = language.labelled_sample(docs)
+    assert set(langs) == set(words)
+    assert all(len(t) <= language.SAMPLE_CHARS + 10 for t in texts)
+    model = language.fit(texts, langs)
+    asked = spark.createDataFrame([(i, say(y, 40), None, None, None, None) for i, y in enumerate(words)], DOCS)
+    out = language.with_languages(asked, model, out=("l", "p", "w"), evidence="e").collect()
+    assert np.mean([r.l == list(words)[r.doc_id] for r in out]) > 0.95 and all(r.e > 0.9 for r in out)
+    assert next(r for r in out if r.doc_id == 100).l == "l100"
+
+
+def test_learned_text_is_bounded_in_all(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TOTAL", 5 * language.SAMPLE_CHARS)
+    docs = spark.createDataFrame([(i, "some words here", f"l{i % 2}", None, None, None) for i in range(80)], DOCS)
+    texts, langs = language.labelled_sample(docs)
+    assert sorted(set(langs)) == ["l0", "l1"] and len(texts) == 4
+
+
+def test_unlearned_languages_leave_at_the_language_stage(spark, tmp_path):
+    """Also where one language alone is learned, whose model gives every text the score 1."""
+    rng = random.Random(8)
+    english = [(i, prose(rng, "en", rng.randrange(20, 120)), "en", None, None, None) for i in range(150)]
+    foreign = [(1000 + i, prose(rng, "xx", 50), None, None, None, None) for i in range(60)]
+    docs = spark.createDataFrame(english + foreign, DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs, str(tmp_path)).collect()}
+    assert kept == {r[0] for r in english}
+
+
+def test_labels_of_long_texts_fill_the_share_and_repeats_count_once(spark):
+    short = [(i, f"text {i}", None, None, None, None) for i in range(40)]
+    long = [(100 + i, f"long{i} " * 2000, None, None, None, None) for i in range(30)]
+    docs = spark.createDataFrame(short + long + short[:1] * 50 + long[:1] * 50, DOCS)
+    labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(30)] + [(0, 0)] * 9, "doc_id long, toxic int")
+    texts, y = toxicity.labelled_sample(docs, labels, {1: 10, 0: 20})
+    assert (y.count(1), y.count(0)) == (10, 20) and len(set(texts)) == 30
+    assert all(len(t) <= toxicity.SAMPLE_CHARS + 10 for t in texts)
+    assert toxicity.labelled_sample(docs.repartition(5), labels, {1: 10, 0: 20}) == (texts, y)
+    many = toxicity.labelled_sample(docs, labels, {1: 1000, 0: 1000})[1]
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    assert many.count(1) == sum(not held(r[0]) for r in long) and many.count(0) == sum(not held(r[0]) for r in short)
+
+
+def test_toxicity_score_of_a_text_is_its_most_toxic_window():
+    """Brute force: windows of distinct words, averaged over WINDOW places, through the softmax and the curve."""
+    rng = random.Random(2)
+    rows = toxic_rows(rng, 120, ["moron", "idiot"])
+    model = toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+
+    def score(text):
+        words, codes, _ = subwords.distinct_words(pa.array([text]))
+        said = [words[c] for c in codes]
+        step = toxicity.WINDOW // 2
+        windows = [said[a:a + toxicity.WINDOW] for a in range(0, max(1, len(said) - step), step)]
+        logits = []
+        for own in windows:
+            bag = np.zeros(toxicity.DIMENSIONS)
+            for w in set(own):
+                bucket, _ = subwords.char_ngrams([w], toxicity.SIZES, toxicity.BUCKETS)
+                bag += model.embeddings[bucket].mean(axis=0)
+            z = bag / toxicity.WINDOW @ model.softmax + model.bias
+            logits.append(z[1] - z[0])
+        return max(logits)
+
+    texts = [t for t, _ in toxic_rows(rng, 40, ["moron", "idiots"])] + ["", "one", prose(rng, "en", 33), prose(rng, "en", 500)]
+    got = model.logits(pa.array(texts))
+    assert np.allclose(got, [score(t) for t in texts], atol=1e-9)

@@ -136,3 +136,49 @@ def test_slices_keep_all_rows_in_order():
     parts = list(common.slices(batch, "text", 64))
     assert [t for p in parts for t in p.column("text").to_pylist()] == batch.column("text").to_pylist()
     assert len(parts) > 1
+
+
+@pytest.mark.parametrize("lengths", [[1], [2, 3, 4], [11], [1, 60, 61, 199, 204, 205, 206, 700], list(range(1, 300))])
+def test_little_padding_on_short_pieces(spark, lengths):
+    """Empty texts, texts of one to three words, of ten words: what is not tokens is below a twentieth."""
+    length = f"element_at(array({', '.join(map(str, lengths))}), cast(id % {len(lengths)} + 1 as int))"
+    rows = spark.range(20_000).selectExpr("id doc_id", "0L start", f"cast({length} as long) length", "1L ids_crc32", f"cast({length} as long) doc_tokens")
+    got = packing.pack(rows, 4096).collect()
+    assert len(got) == 20_000 and len({r.doc_id for r in got}) == 20_000
+    n = check_packed(got, 4096)
+    total = sum(r.length for r in got)
+    assert n <= max(-(-total // 4096) + 1, total / 4096 / 0.95)
+
+
+def test_bundles_and_the_rest_fill_their_classes():
+    own = packing.bundled_classes({-3: 25, -17: 9, -40: 11, 3: 4, 4: 2}, 10, 40)
+    assert own.demand == {3: 4 + 2, 4: 2 + 1, 40: 1, 1: 5, 2: 9}
+    pieces = [(k, r) for k, n in ((-3, 25), (-17, 9), (-40, 11), (3, 4), (4, 2)) for r in range(n)]
+    cls, place, inner = own.places(*(np.array(x) for x in zip(*pieces)))
+    seen = {}
+    for (k, _), c, p, i in zip(pieces, cls.tolist(), place.tolist(), inner.tolist()):
+        seen.setdefault((c, p), []).append((k, i))
+    assert {c: len({p for d, p in seen if d == c}) for c in own.demand} == own.demand
+    assert all(sum(-k if k < 0 else 10 * c for k, _ in held) <= 10 * c and len({i for _, i in held}) == len(held) for (c, _), held in seen.items())
+
+
+def test_counts_stay_right_when_the_trie_starts_again(monkeypatch):
+    scores = token_counts.zipf_scores(PIECE)
+    words = [token_counts.MARK + w for w in "one two three the theme themes there internationalisation the one é漢 theme".split()]
+    expect = token_counts.Trie(scores).counts(words).tolist()
+    monkeypatch.setattr(token_counts, "TRIE_NODES", 10)
+    trie = token_counts.Trie(scores)
+    for _ in range(4):
+        assert [int(trie.counts([w])[0]) for w in words] == expect
+    inserted = []
+    real = trie.insert
+    trie.insert = lambda w: inserted.append(w) or real(w)
+    trie.counts(words)
+    trie.counts(words[:3])
+    assert set(words[:3]).isdisjoint(inserted[len(set(words)):])  # met in the generation before: moved over, not scored again
+
+
+def test_hadoop_schemes_as_arrow_names_them():
+    names = {"s3a://b/x": "s3://b/x", "s3n://b/x": "s3://b/x", "s3://b/x": "s3://b/x", "gs://b/x": "gs://b/x", "file:/t/x": "file:/t/x",
+             "file:///t/x": "file:///t/x", "/t/x": "file:///t/x", "/t/a:b": "file:///t/a:b", "hdfs://n:9/x": "hdfs://n:9/x"}
+    assert {k: binary_tokens.arrow_uri(k) for k in names} == names

@@ -1,6 +1,7 @@
 """Winnowing, URL filters, chat formatting: against plain Python, SQL and round trips."""
 
 import datetime as dt
+import random
 
 import brute
 import duckdb
@@ -181,3 +182,52 @@ def test_sql(spark, query, sql, name):
     cols = sorted(want.columns)
     got = {tuple(str(r[c]) for c in cols) for r in query(spark, d).collect()}
     assert got == {tuple(str(r[want.columns.index(c)]) for c in cols) for r in want.fetchall()}
+
+
+def test_op7_edited_text_has_the_fingerprint_of_an_equal_document(spark, tmp_path):
+    """Also where the next document is empty or null, so that the edited text is the kept half alone."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefg hij", k=rng.randrange(290, 310))) for _ in range(200)]
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, [None, "", "z", "zz yy"][i % 4]) for i in range(200)]
+    order = sorted(rows)
+    edited = {}
+    for n, (i, t) in enumerate(order):
+        half = len(t or "") // 2
+        edited[i] = (t or "")[:len(t or "") - half] + (order[(n + 1) % len(order)][1] or "")[:half]
+    schema = "doc_id long, text string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/a/documents.parquet")
+    spark.createDataFrame(list(edited.items()), schema).write.parquet(f"{tmp_path}/b/documents.parquet")
+    a, b = ({r.doc_id: r for r in winnowing.op7_winnowing(spark, f"{tmp_path}/{x}").collect()} for x in "ab")
+    assert [i for i in a if a[i].edited_fingerprint != b[i].fingerprint] == []
+    sets = {i: ({h for _, h in brute.winnowed(t)}, {h for _, h in brute.winnowed(edited[i])}) for i, t in ((i, t or "") for i, t in rows)}
+    assert all(abs(a[i].near_edited - (len(x & y) / len(x | y) if x | y else 1.0)) < 1e-12 for i, (x, y) in sets.items())
+
+
+def test_url_filter_refuses_columns_named_like_its_verdict(spark):
+    captures = spark.createDataFrame([("http://a.b/c", "2024-01-01", "x")], "url string, fetched_on string, Kind string")
+    entries = spark.createDataFrame([], "list_id string, effect string, kind string, value string, action string, listed_on string")
+    with pytest.raises(ValueError, match="kind"):
+        url_filters.url_filter(captures, entries)
+    assert url_filters.url_filter(captures.drop("Kind"), entries).first().blocked is False
+
+
+def test_url_filter_splits_a_hot_host(spark):
+    """A host with a third of all captures: AQE splits its partition of the join."""
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        captures = spark.range(60_000).repartition(8).selectExpr(
+            "concat('http://', if(id % 3 = 0, 'hot.example', concat('h', id % 20000, '.example')), '/p/', id) url", "date'2024-01-05' fetched_on")
+        entries = spark.range(3000).selectExpr("'l' list_id", "'block' effect", "'host' kind", "'add' action", "date'2024-01-01' listed_on",
+                                               "if(id = 0, 'hot.example', concat('h', id, '.example')) value")
+        ran = url_filters.url_filter(captures, entries).groupBy("blocked").count()
+        found = {r.blocked: r["count"] for r in ran.collect()}
+        assert found[True] == sum(i % 3 == 0 or 0 < i % 20_000 < 3000 for i in range(60_000))
+        assert "skew=true" in ran._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
