@@ -237,14 +237,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def one_of_each(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the one of its smallest doc_id, null ids last (of
-    rows that share that id, the one whose columns hash lowest).
+    rows that share that id, the one whose columns hash lowest, maps as JSON).
 
     Rows are told apart by a number of their own, not by doc_id, which may be null or repeat
     in other components. It is written with them, so that both reads see the same numbers.
     """
     row = free_name(docs, "row")
+    hashed = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields]
     own = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    rows = staged(fingerprints(own, words, row=F.col(row), digest=F.xxhash64(*docs.columns)), "fingerprints")
+    rows = staged(fingerprints(own, words, row=F.col(row), digest=F.xxhash64(*hashed)), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "row")
     keep = components(rows, F.min(first), bits).groupBy("root").agg(F.min("first_id").alias("first_id"))
     return own.join(keep.select(F.col("first_id.row").alias(row)), row, "left_semi").select(*docs.columns)
