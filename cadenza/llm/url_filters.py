@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import table
+from cadenza.llm.common import staged, table
 
 KINDS = ["domain", "host", "prefix", "url"]
 SCHEME = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://|//)?"
@@ -81,25 +81,30 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 def url_filter(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_on: str = "fetched_on") -> DataFrame:
     """``captures`` with VERDICT columns: whether the entries active on the day of the fetch
-    block it, the deciding entry (null if none) and how many were active."""
+    block it, the deciding entry (null if none) and how many were active. Captures that have a
+    column of such a name already are refused."""
+    clash = {c.lower() for c in captures.columns} & set(VERDICT)
+    if clash:
+        raise ValueError(f"captures already have columns {sorted(clash)}")
     spans = validity_intervals(entries)
     depths = sorted(r.depth for r in spans.where("kind = 'prefix'").select("depth").distinct().collect())
     span = captures.agg(F.min(F.year(fetched_on)), F.max(F.year(fetched_on))).first()
     years = F.sequence(F.greatest(F.year("valid_from"), F.lit(span[0])), F.least(F.year("valid_to"), F.lit(span[1])))
     seen = (F.year("valid_from") <= F.lit(span[1])) & (F.year("valid_to") >= F.lit(span[0]))
-    histories = (spans.where(seen).withColumn("year", F.explode(years)).groupBy("kind", "key", "year")
-                 .agg(F.collect_list(F.struct("list_id", "effect", "valid_from", "valid_to")).alias("history")))
+    # written, so that both sides of the join below are plain shuffles, which AQE splits where a host is hot
+    histories = staged(spans.where(seen).withColumn("year", F.explode(years)).groupBy("kind", "key", "year")
+                       .agg(F.collect_list(F.struct("list_id", "effect", "valid_from", "valid_to")).alias("history")), "histories")
 
     once = parsed(captures.select(F.col(url).alias("_url"), F.col(fetched_on).cast("date").alias("_day"))
                   .where("_url is not null and _day is not null").distinct(), "_url").where("_host <> ''")
     labels = F.split("_host", r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("key")))
-    prefixes = [F.when(F.size("_segments") >= d, F.struct(F.lit("prefix").alias("kind"), path_key(F.lit(d)).alias("key")))
-                for d in depths]
+    reached = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda d: d <= F.size("_segments"))
+    prefixes = F.transform(reached, lambda d: F.struct(F.lit("prefix").alias("kind"), path_key(d).alias("key")))
     others = F.array(F.struct(F.lit("host").alias("kind"), F.col("_host").alias("key")),
-                     F.struct(F.lit("url").alias("kind"), url_key().alias("key")), *prefixes)
-    keys = F.explode(F.filter(F.concat(domains, others), lambda k: k.isNotNull()))
+                     F.struct(F.lit("url").alias("kind"), url_key().alias("key")))
+    keys = F.explode(F.concat(domains, others, prefixes))
     asked = once.select("_url", "_day", F.year("_day").alias("year"), keys.alias("k")).select("_url", "_day", "year", "k.*")
     met = asked.join(histories, ["kind", "key", "year"]).select(
         "_url", "_day", "kind", "key", F.explode(F.filter("history", lambda h: (h["valid_from"] <= F.col("_day"))
