@@ -39,8 +39,16 @@ MANIFEST = "shard int, dtype string, n_docs long, n_tokens long"
 NO_ID = np.iinfo(np.int64).min
 
 
+def arrow_uri(folder: str) -> str:
+    """``folder`` as Arrow's file systems name it: Hadoop's S3 schemes are its ``s3``; a bare path is a file."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        return f"file://{folder}"
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else folder
+
+
 def _store(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    return pafs.FileSystem.from_uri(arrow_uri(folder))
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None, shards: int | None = None,
