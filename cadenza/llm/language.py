@@ -68,8 +68,9 @@ class Model:
     def supported(self, words: list[str]) -> np.ndarray:
         """Whether training has met every three-letter run of ``<word>``."""
         bucket, word = runs(words)
-        met = np.unpackbits(self.trained, count=RUNS)[bucket]
-        return np.bincount(word, weights=1 - met.astype(float), minlength=len(words)) == 0
+        out = np.ones(len(words), bool)
+        out[word[np.unpackbits(self.trained, count=RUNS)[bucket] == 0]] = False
+        return out
 
     def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores (words x languages) and whether each word holds a letter; others score zero."""
@@ -293,7 +294,7 @@ def with_languages(docs: DataFrame, model: Model | None, words: bool = False, te
     def parts(batch, k):
         """Runs of rows that are labelled at once: the work holds k numbers a word and k * k a block."""
         rows = max(64, BLOCK_NUMBERS // (k * k))
-        for part in slices(batch, text, max(1 << 16, min(3 << 20, SLICE // k))):
+        for part in slices(batch, text, max(1 << 16, min(2 << 20, SLICE // k))):
             yield from (part.slice(at, rows) for at in range(0, part.num_rows, rows))
 
     def run(batches):
