@@ -3,7 +3,7 @@
 A text is lower-cased (A-Z) and every run of separators becomes one space; for each n, one
 overlapped scan with the ``regex`` library (:func:`gram_pattern`: n words between boundary
 lookarounds, ``finditer`` with ``overlapped=True``) then emits the n-grams as spans of the text itself.
-A span's CRC-32 modulo ``buckets`` is its feature. With S features in all documents, s of
+All of it works on the text's UTF-8 bytes, as all separators are ASCII. A span's CRC-32 modulo ``buckets`` is its feature. With S features in all documents, s of
 them in a bucket, and T and t those of the target, a bucket's gain is
 ``floor(1000 ln((t + 1) (S + buckets) / ((s + 1) (T + buckets))))``; a document's weight is the floored
 mean gain of its features, and its score the weight plus Gumbel noise drawn from its id, so
@@ -38,7 +38,6 @@ from cadenza.llm.common import free_name, on_workers, slices, staged, table, tas
 
 GRAMS, BUCKETS = 2, 10_000
 MIN_WORDS, PERCENT, SEED = 20, 25, 7
-CACHED_GRAMS = 500_000  # bound of a worker's table of hashed spans; it starts again beyond
 SLICE = 2 << 20
 #: ASCII letters in lower case, digits as they are, the rest of ASCII as spaces.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b > 127 else 32 for b in range(256))
@@ -49,38 +48,22 @@ def gram_pattern(n: int):
     """``n`` words with single spaces between, from a word's begin to a word's end."""
     import regex
 
-    return regex.compile(r"(?<![^ ])[^ ]++" + r"(?: [^ ]++)" * (n - 1) + r"(?![^ ])")
+    return regex.compile(rb"(?<![^ ])[^ ]++" + rb"(?: [^ ]++)" * (n - 1) + rb"(?![^ ])")
 
 
-class Buckets(dict):
-    """Span → bucket; what is looked up first is hashed then."""
-
-    def __init__(self, buckets: int):
-        self.buckets = buckets
-
-    def __missing__(self, span: str) -> int:
-        found = self[span] = zlib.crc32(span.encode()) % self.buckets
-        return found
-
-
-@functools.lru_cache(maxsize=1)
-def worker_buckets(buckets: int) -> Buckets:
-    return Buckets(buckets)
-
-
-def collapsed(text: bytes) -> str:
+def collapsed(text: bytes) -> bytes:
     """Lower-cased words with single spaces between."""
-    return b" ".join(text.translate(WORD_BYTES).split()).decode()
+    return b" ".join(text.translate(WORD_BYTES).split())
 
 
-def features(text: str, grams: int, bucket_of: Buckets) -> np.ndarray:
+def features(text: bytes, grams: int, buckets: int) -> np.ndarray:
     """The buckets of all 1- to ``grams``-word spans of a collapsed text, sorted."""
     import regex
 
     span = regex.Match.group
-    found = [np.fromiter(map(bucket_of.__getitem__, map(span, gram_pattern(n).finditer(text, overlapped=True))), np.uint32)
+    found = [np.fromiter(map(zlib.crc32, map(span, gram_pattern(n).finditer(text, overlapped=True))), np.uint32)
              for n in range(1, grams + 1)]
-    return np.sort(np.concatenate(found))
+    return np.sort(np.concatenate(found) % np.uint32(buckets))
 
 
 def feature_rows(docs: DataFrame, text: str, carry: list[str], grams: int, buckets: int) -> DataFrame:
@@ -93,15 +76,12 @@ def feature_rows(docs: DataFrame, text: str, carry: list[str], grams: int, bucke
     schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(n, t) for n, t in zip(own, (T.LongType(), T.LongType(), T.BinaryType())))])
 
     def run(batches):
-        bucket_of = worker_buckets(buckets)
         for batch in task(batches):
             for part in slices(batch, body, SLICE):
-                if len(bucket_of) > CACHED_GRAMS:
-                    bucket_of.clear()
                 texts = [collapsed(t) for t in part.column(body).fill_null("").cast(pa.binary()).to_pylist()]
-                found = [features(t, grams, bucket_of) for t in texts]
+                found = [features(t, grams, buckets) for t in texts]
                 yield pa.RecordBatch.from_arrays([
-                    *(part.column(c) for c in carry), pa.array([t.count(" ") + 1 if t else 0 for t in texts], pa.int64()),
+                    *(part.column(c) for c in carry), pa.array([t.count(b" ") + 1 if t else 0 for t in texts], pa.int64()),
                     pa.array(list(map(len, found)), pa.int64()), pa.array([f.astype(dtype).tobytes() for f in found], pa.binary())],
                     schema.names)
 
