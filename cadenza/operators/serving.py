@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.functions.columns import blend_arrays  # noqa: F401  (array twin of blend)
+from cadenza.functions.joins import growing
 from cadenza.operators.metrics import rank_recs
 from cadenza.operators.popularity import default_list
 
@@ -40,13 +41,13 @@ def seen_items(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """
     pairs = events.select("user_id", "item_id")
     if users is not None:
-        pairs = pairs.join(users.select("user_id"), "user_id", "left_semi")
+        pairs = pairs.join(growing(users.select("user_id")), "user_id", "left_semi")
     return pairs.distinct()
 
 
 def filter_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     """List minus set with order kept: anti join on ``(user_id, item_id)``; ``pos`` untouched."""
-    return candidates.join(seen, ["user_id", "item_id"], "left_anti")
+    return candidates.join(growing(seen), ["user_id", "item_id"], "left_anti")
 
 
 def seen_bitmaps(events: DataFrame, users: DataFrame | None = None) -> DataFrame:
@@ -55,7 +56,7 @@ def seen_bitmaps(events: DataFrame, users: DataFrame | None = None) -> DataFrame
     user's plays travel as one row per task and bucket however many they are."""
     pairs = events.select("user_id", "item_id")
     if users is not None:
-        pairs = pairs.join(users.select("user_id"), "user_id", "left_semi")
+        pairs = pairs.join(growing(users.select("user_id")), "user_id", "left_semi")
     return pairs.groupBy("user_id", F.bitmap_bucket_number("item_id").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("item_id")).alias("bits"))
 
@@ -65,7 +66,7 @@ def filter_seen_bits(candidates: DataFrame, bitmaps: DataFrame) -> DataFrame:
     place = candidates.withColumn("bucket", F.bitmap_bucket_number("item_id"))
     byte = "cast(conv(hex(substring(bits, cast(bitmap_bit_position(item_id) div 8 as int) + 1, 1)), 16, 10) as int)"
     seen = F.coalesce(F.expr(f"(shiftright({byte}, cast(bitmap_bit_position(item_id) % 8 as int)) & 1) = 1"), F.lit(False))
-    return place.join(bitmaps, ["user_id", "bucket"], "left").where(~seen).select(*candidates.columns)
+    return place.join(growing(bitmaps), ["user_id", "bucket"], "left").where(~seen).select(*candidates.columns)
 
 
 def renumber(candidates: DataFrame, order_col: str = "pos", k_col: str | None = "k") -> DataFrame:
@@ -97,9 +98,9 @@ def offline_candidates(requests: DataFrame, recs: DataFrame, top: DataFrame,
     ``1..overfetch·k``, joined on ``pos`` with the default list.
     """
     req = checked_requests(requests)
-    mine = recs.join(req.select("user_id").distinct(), "user_id", "left_semi")
+    mine = recs.join(growing(req.select("user_id").distinct()), "user_id", "left_semi")
     personal = personal_lists(mine).withColumnRenamed("user_id", "p_user")
-    joined = req.join(personal, (req.user_id == personal.p_user)
+    joined = req.join(growing(personal), (req.user_id == personal.p_user)
                       & (personal.pos <= F.col("k") * overfetch), "left")
     from_personal = (joined.filter(F.col("item_id").isNotNull())
                      .select("request_id", "user_id", "k", "pos", "item_id", F.lit("personal").alias("source")))
@@ -140,7 +141,7 @@ def served_source_counts(requests: DataFrame, recs: DataFrame, top: DataFrame) -
     """How many requests were answered from personal lists and how many from the default."""
     req = requests.select("user_id")
     has_personal = recs.select("user_id").distinct().withColumn("personal", F.lit(True))
-    flagged = req.join(has_personal, "user_id", "left")
+    flagged = req.join(growing(has_personal), "user_id", "left")
     src = F.when(F.col("personal"), F.lit("personal")).otherwise(F.lit("default"))
     return flagged.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("requests"))
 
@@ -172,7 +173,7 @@ def online_recs(requests: DataFrame, recent: DataFrame, similar: DataFrame, even
     de-duplication keeps its minimum per item, so no per-user loop is needed.
     """
     req = checked_requests(requests)
-    newest = (recent.filter(F.col("pos") <= n_recent).join(req, "user_id")
+    newest = (recent.filter(F.col("pos") <= n_recent).join(growing(req), "user_id")
               .select("request_id", "user_id", "k", F.col("pos").alias("recency"), F.col("item_id").alias("event_item")))
     sims = similar_lists(similar)
     expanded = (newest.join(sims, newest.event_item == sims.item_id_1)
@@ -202,7 +203,7 @@ def blend(offline: DataFrame, online: DataFrame, requests: DataFrame) -> DataFra
     m = F.least(F.count(F.when(F.col("src") == 0, 1)).over(w), F.count(F.when(F.col("src") == 1, 1)).over(w))
     slots = both.withColumn("slot", F.when(i < m, 2 * i + F.col("src")).otherwise(i + m))
     first = slots.groupBy("request_id", "user_id", "item_id").agg(F.min("slot").alias("slot"))
-    with_k = first.join(checked_requests(requests).select("request_id", "k"), "request_id")
+    with_k = first.join(growing(checked_requests(requests).select("request_id", "k")), "request_id")
     return renumber(with_k, order_col="slot")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cadenza.functions.joins import growing
 from cadenza.operators import serving
 from cadenza.operators.clean import clean_interactions
 from cadenza.session import ship_package
@@ -103,7 +104,7 @@ def state_as_list(state_rows: DataFrame) -> DataFrame:
 def latest_per_user(sink: DataFrame, order_col: str = "batch_id") -> DataFrame:
     """Each user's rows of its highest batch, without those that only say that a list is empty."""
     top = sink.groupBy("user_id").agg(F.max(order_col).alias("_top"))
-    rows = sink.join(top, "user_id").filter(F.col(order_col) == F.col("_top")).drop("_top")
+    rows = sink.join(growing(top), "user_id").filter(F.col(order_col) == F.col("_top")).drop("_top")
     return rows.filter(F.col("pos").isNotNull()) if "pos" in sink.columns else rows
 
 

@@ -70,3 +70,26 @@ def test_hot_user_stream_pre_limit_keeps_n_rows_of_a_batch():
                         "event_id": range(503)})
     out = list(_partial_newest(10)(iter([pdf, pdf])))
     assert [len(o) for o in out] == [13, 13] and set(out[0][out[0].user_id == 1].event_id) == set(range(490, 500))
+
+
+def test_growing_sides_are_not_broadcast_by_their_file_size(spark, tmp_path):
+    """Lists that Parquet stores in a few KB are not taken for a few KB of memory; lists stay the same."""
+    recs = spark.range(4000).select((F.col("id") / 50).cast("int").alias("user_id"), (F.col("id") % 50).cast("int").alias("item_id"),
+                                    F.lit(0.5).alias("score"), (F.col("id") % 50 + 1).cast("int").alias("rank"))
+    tables = {"recs": recs, "top": spark.createDataFrame([(7, 1, 1.0)], "item_id int, rank int, score double"),
+              "events": spark.createDataFrame([(0, 0), (79, 1)], "user_id int, item_id int"),
+              "requests": spark.range(80).select("id", F.col("id").cast("int").alias("user_id"), F.lit(2).alias("k")).toDF("request_id", "user_id", "k")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    t = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in tables}
+    got = serving.offline_recs(t["requests"], t["recs"], t["top"], t["events"])
+    bits = serving.offline_recs(t["requests"], t["recs"], t["top"], t["events"], bitmaps=serving.seen_bitmaps(t["events"], t["requests"]))
+    near = spark.createDataFrame([(0, 1, 5)], "user_id int, pos int, item_id int")
+    similar = spark.createDataFrame([(5, 9, 0.9, 1)], "item_id_1 int, item_id_2 int, score double, rank int")
+    blended = serving.blended_recs(t["requests"], t["recs"], t["top"], near, similar, t["events"])
+    for df in (got, bits, blended):
+        big = [line for line in _plan(df).splitlines() if "BroadcastHashJoin" in line and ("user_id" in line or "request_id" in line)]
+        assert not big, big
+    rows = {(r.user_id, r.pos): r.item_id for r in got.collect()}
+    assert len(rows) == 160 and rows[(0, 1)] == 1 and rows[(79, 2)] == 2 and rows == {(r.user_id, r.pos): r.item_id for r in bits.collect()}
+    assert {r.pos: r.item_id for r in blended.collect() if r.user_id == 0} == {1: 1, 2: 9}
