@@ -175,6 +175,19 @@ def test_saved_trees_give_the_models_probability(spark, fx, tmp_path):
     assert len(fell) == 5 and fell[-1] < fell[0]
 
 
+def test_trees_are_walked_once_for_candidates_alike(spark, fx, tmp_path):
+    cands = ranker.build_candidates(fx.nation_recs, fx.train)
+    model = ranker.fit_ranker(cands, cands.select("user_id").distinct(), max_iter=3, depth=2)
+    ranker.save_ranker(model, str(tmp_path / "ranker"))
+    scored = ranker.score_by_trees(cands.unionByName(cands), ranker.tree_table(str(tmp_path / "ranker"), spark), depth=2)
+    assert "lambdafunction((x" not in _plan(scored) and "nodes" not in _plan(scored)  # scores of cells, not trees, meet the candidates
+    assert scored.count() == 2 * cands.count()
+    odd = spark.createDataFrame([(1, 1, None, None, 2), (2, 1, float("nan"), 10**9, 2), (3, 1, -1e300, 0, 0)],
+                                "user_id int, item_id int, als_score double, tracks_played_by_user bigint, item_plays bigint")
+    got = {r.user_id: r.score for r in ranker.score_by_trees(odd, ranker.tree_table(str(tmp_path / "ranker"), spark), depth=2).collect()}
+    assert got.keys() == {1, 2, 3} and all(0 < p < 1 for p in got.values()) and got[1] == got[2]
+
+
 def test_requests_of_a_bucketed_history_keep_extra_exclusions(spark):
     recs = spark.createDataFrame([(1, i, 1.0 / i, i) for i in range(1, 7)], "user_id int, item_id int, score double, rank int")
     top = spark.createDataFrame([(9, 1, 1.0)], "item_id int, rank int, score double")
