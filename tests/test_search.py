@@ -50,6 +50,18 @@ def test_top_inner_products_equal_the_full_product(spark, chunk, block):
     assert work.pairs == 40 * 150 and 0 < work.scored <= work.pairs
 
 
+def test_lanes_and_groups_give_the_full_product_and_copies_follow_the_cores(spark):
+    """Items in several lanes: lists are merged; and no comparison ships its block and chunk anew."""
+    rng = np.random.default_rng(3)
+    users, items = rng.integers(-4, 5, (60, 5)), rng.integers(-4, 5, (400, 5))
+    got = topn.top_inner_products(vectors(spark, users, "user_id"), vectors(spark, items, "item_id"), 6, chunk=4, block=5, lane_chunks=20)
+    assert lists_of(got.recs) == brute(users, items, 6)
+    assert _plan(got.recs).count("Exchange") == 0  # what was found is stored, once
+    double = vectors(spark, np.concatenate([users, users]) * 1.0, "user_id").withColumn("user_id", F.col("user_id") % 60 + 1)
+    twice = topn.top_inner_products(double, vectors(spark, items, "item_id"), 6, chunk=4, block=5, lane_chunks=20).recs
+    assert twice.count() == 720 and twice.distinct().count() == 360
+
+
 def test_long_norms_are_all_that_is_scored(spark):
     """Ten items far longer than the rest and in all directions: the chunks behind them are never read."""
     rng = np.random.default_rng(2)
