@@ -11,10 +11,10 @@ place in a query's order of cells each true neighbour's cell comes, and takes th
 number of probes that reaches the wanted recall. That is one exact pass for the query set
 and no trial searches.
 
-Cells are packed in blocks of at most ``BLOCK`` vectors and queries likewise per cell, so a
-cell that holds a third of all vectors becomes many bounded comparisons of two rows each, and
-none is left out. Queries keep the k best of each comparison before these are ranked, and a
-window with a map-side limit keeps the k best of all.
+Cells are packed in blocks of about ``BLOCK`` vectors, so a cell that holds a third of all vectors
+becomes many bounded blocks, and none is left out. A query moves with one bit per cell that says whether
+it looks there, not once per probe: queries and cells meet in tiles (:mod:`cadenza.operators.tiles`),
+whose number follows the cores, so data moved grows as the rows do, whatever the probes are.
 
 Ids are INT; rows with a null vector, or one of length zero, have no cosine and are left out.
 Scores are cosines in double precision, of equal ones the lower id goes first.
@@ -31,8 +31,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators import tiles
 from cadenza.operators.numbering import stored
-from cadenza.operators.similar import OUT_SCHEMA, SIMILAR_K, STRIPE, _pack, _rows, _top, _usable, top_k_per_item
+from cadenza.operators.similar import PACKED, SIMILAR_K, STRIPE, _usable
+from cadenza.operators.tiles import QUERY_BLOCK, packed_bytes
 from cadenza.session import ship_package
 
 SAMPLE_PER_CELL = 64
@@ -40,6 +42,7 @@ BLOCK = 4096
 ITERATIONS = 10
 RECALL = 0.9
 SIDE = "cell int, part int, ids binary, vectors binary"
+PROBING = f"{PACKED}, probed binary"
 
 
 def default_cells(n: int) -> int:
@@ -89,10 +92,13 @@ def packed(placed: DataFrame, dtype: str, block: int = BLOCK) -> DataFrame:
     """``cell, part, ids, vectors``: each cell's rows in parts of about ``block``, dealt out by a hash. What
     is broadcast is a number per cell."""
     size = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    pack = _pack(dtype)
+
+    def pack(key, pdf):
+        ids, vectors = packed_bytes(pdf, dtype)
+        return pd.DataFrame({"cell": [key[0]], "part": [key[1]], "ids": [ids], "vectors": [vectors]})
+
     parted = placed.join(F.broadcast(size), "cell").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")).cast("int"))
-    return parted.groupBy("cell", "part").applyInPandas(
-        lambda key, pdf: pack((key[1],), pdf).rename(columns={"block": "part"}).assign(cell=key[0])[["cell", "part", "ids", "vectors"]], SIDE)
+    return parted.groupBy("cell", "part").applyInPandas(pack, SIDE)
 
 
 def build_index(vectors: DataFrame, centres: np.ndarray, id_col: str = "item_id", vec_col: str = "vector") -> DataFrame:
@@ -102,44 +108,43 @@ def build_index(vectors: DataFrame, centres: np.ndarray, id_col: str = "item_id"
     return packed(in_cells(usable, centres), dtype)
 
 
-def _unit(row, dtype: str) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row["ids"], "<i4")
-    v = np.frombuffer(row["vectors"], dtype).reshape(len(ids), -1).astype(np.float64)
-    order = np.argsort(ids, kind="stable")
-    return ids[order], (v / np.linalg.norm(v, axis=1, keepdims=True))[order]
+def probing(usable: DataFrame, dtype: str, blocks: int, centres: np.ndarray | None = None, probes: int = 1) -> DataFrame:
+    """``block, ids, vectors, probed``: queries in blocks dealt out by a hash; ``probed`` has a bit for each
+    cell, set for a query's ``probes`` nearest (none without ``centres``: such a query looks everywhere)."""
+    shared = usable.sparkSession.sparkContext.broadcast(centres)
 
+    def pack(key, pdf):
+        pdf, cells, bits = pdf.sort_values("item_id", kind="stable"), shared.value, None
+        ids, vectors = packed_bytes(pdf, dtype)
+        if cells is not None:
+            looks = np.zeros((len(pdf), len(cells)), bool)
+            for at in range(0, len(pdf), STRIPE):
+                near = cell_order(_matrix(pdf["v"].iloc[at:at + STRIPE]), cells)[:, :probes]
+                np.put_along_axis(looks[at:at + STRIPE], near, True, axis=1)
+            bits = np.packbits(looks, axis=1).tobytes()
+        return pd.DataFrame({"block": [key[0]], "ids": [ids], "vectors": [vectors], "probed": [bits]})
 
-def _neighbours(k: int, dtype: str):
-    """A block of queries against a block of rows: the k best others of every query."""
-    def run(key, pdf):
-        (_, row), (_, query) = pdf.sort_values("is_query").iterrows()
-        ids, vectors = _unit(row, dtype)
-        own, queries = _unit(query, dtype)
-        out = []
-        for at in range(0, len(own), STRIPE):
-            scores = queries[at:at + STRIPE] @ vectors.T
-            scores[own[at:at + STRIPE, None] == ids[None, :]] = -np.inf  # itself
-            out.append(_rows(own[at:at + STRIPE], _top(scores, ids, k)))
-        return pd.concat(out, ignore_index=True)
-    return run
+    return (usable.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
+            .groupBy("block").applyInPandas(pack, PROBING))
 
 
-def compared(queries: DataFrame, rows: DataFrame, k: int, dtype: str) -> DataFrame:
-    """The k best rows of every query, both packed (``cell, part, ids, vectors``), among those in its cells."""
-    pairs = (queries.select("cell", F.col("part").alias("q")).join(rows.select("cell", F.col("part").alias("r")), "cell"))
-    side = lambda df, name, is_query: pairs.join(df.withColumnRenamed("part", name), ["cell", name]).select(
-        "cell", "q", "r", F.lit(is_query).alias("is_query"), "ids", "vectors")
-    both = side(queries, "q", True).unionByName(side(rows, "r", False))
-    return top_k_per_item(both.groupBy("cell", "q", "r").applyInPandas(_neighbours(k, dtype), OUT_SCHEMA), k)
+def compared(queries: DataFrame, rows: DataFrame, k: int, dtype: str, centres: np.ndarray | None = None, probes: int = 1) -> DataFrame:
+    """The k best of packed ``rows`` (``cell, part, ids, vectors``) for every query (``item_id, v``), among those
+    in its ``probes`` nearest cells, or among all without ``centres``. ``rows`` are read several times."""
+    n, (n_rows, row_blocks) = queries.count(), rows.agg(F.coalesce(F.sum(F.length("ids") / 4), F.lit(0)), F.count(F.lit(1))).first()
+    blocks = max(1, math.ceil(n / QUERY_BLOCK))
+    groups, lanes = tiles.shape(n, blocks, int(n_rows), row_blocks, queries.sparkSession.sparkContext.defaultParallelism)
+    dealt = rows.select("ids", "vectors", "cell", F.pmod(F.xxhash64("cell", "part"), F.lit(1 << 30)).cast("int").alias("block"))
+    return tiles.nearest(probing(queries, dtype, blocks, centres, probes), dealt, k, dtype, groups, lanes)
 
 
 def exact_neighbours(queries: DataFrame, vectors: DataFrame, k: int = SIMILAR_K, id_col: str = "item_id",
                      vec_col: str = "vector") -> DataFrame:
-    """The true k nearest of every query among all rows: the same comparison with one cell for all."""
+    """The true k nearest of every query among all rows: the same comparison, looking everywhere."""
     ship_package(vectors.sparkSession)
-    sides = [_usable(df, id_col, vec_col) for df in (queries, vectors)]
-    q, v = (packed(df.withColumn("cell", F.lit(0)), dtype) for df, dtype in sides)
-    return compared(stored(q, "queries"), stored(v, "rows"), k, sides[1][1])
+    asked, _ = _usable(queries, id_col, vec_col)
+    rows, dtype = _usable(vectors, id_col, vec_col)
+    return compared(asked, stored(packed(rows.withColumn("cell", F.lit(0)), dtype), "rows"), k, dtype)
 
 
 def search(index: DataFrame, queries: DataFrame, centres: np.ndarray, probes: int, k: int = SIMILAR_K,
@@ -148,7 +153,7 @@ def search(index: DataFrame, queries: DataFrame, centres: np.ndarray, probes: in
     ``queries`` have the element type of the indexed vectors."""
     ship_package(queries.sparkSession)
     usable, dtype = _usable(queries, id_col, vec_col)
-    return compared(stored(packed(in_cells(usable, centres, probes), dtype), "probes"), index, k, dtype)
+    return compared(usable, index, k, dtype, centres, probes)
 
 
 def probe_places(truth: DataFrame, queries: DataFrame, vectors: DataFrame, centres: np.ndarray, id_col: str = "item_id",

@@ -158,6 +158,26 @@ def test_all_probes_are_the_exact_search(spark, cloud):
     assert got == true_neighbours(cloud[:200], np.arange(200), 4)
 
 
+def test_what_a_search_stores_and_moves_does_not_follow_the_probes(spark, cloud):
+    """A query is written and shuffled once per lane of tiles, with a bit per cell, however many cells it looks into."""
+    from cadenza.session import checkpoint_dir
+    from cadenza.sources.stages import path_state
+    frame = vectors(spark, cloud, "item_id")
+    centres = ivf.fit_cells(frame, 30)
+    index = ivf.stored(ivf.build_index(frame, centres), "index")
+    held = lambda: path_state(spark, checkpoint_dir(spark))["bytes"]
+    before, grown = held(), []
+    for probes in (1, len(centres)):
+        found = ivf.search(index, frame, centres, probes, 4)
+        assert found.count() == 3600 or probes == 1
+        grown.append(held() - before)
+        before = held()
+    assert grown[1] <= 2 * grown[0]
+    usable, dtype = ivf._usable(frame, "item_id", "vector")
+    few, all_ = (ivf.probing(usable, dtype, 3, centres, p).select(F.sum(F.length("vectors") + F.length("probed"))).first()[0] for p in (1, len(centres)))
+    assert few == all_ == 900 * (12 * 8 + 4)
+
+
 def test_index_of_an_empty_table(spark, cloud):
     found, measured = ivf.similar_items_ivf(vectors(spark, cloud[:3], "item_id").where("false"))
     assert found.collect() == [] and measured["true_pairs"] == 0 and measured["probes"] == 1
