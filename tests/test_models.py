@@ -40,6 +40,39 @@ def test_similar_items_skips_zero_vectors_and_keeps_ties(spark):
     assert all(a != 4 and b != 4 for (a, _), b in got.items())
 
 
+def test_similar_items_in_many_tiles(spark, monkeypatch):
+    """Several groups and lanes, repeated vectors, and blocks that stay empty."""
+    from cadenza.operators import tiles
+    monkeypatch.setattr(tiles, "TILE_ROWS", 20)
+    monkeypatch.setattr(tiles, "LANE_ROWS", 30)
+    monkeypatch.setattr(tiles, "PRODUCT", 200)
+    rng = np.random.default_rng(5)
+    rows = rng.integers(-3, 4, (150, 4)).astype(float)
+    rows[rows.any(axis=1) == 0] = 1.0
+    rows[40:70] = rows[3]  # 31 alike
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "item_id int, vector array<double>")
+    got = similar_items(df, k=6, n_blocks=40)
+    unit = rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    scores = {(r.item_id_1, r["rank"]): (r.item_id_2, r.score) for r in got.collect()}
+    assert len(scores) == 150 * 6
+    for i in range(150):
+        own = unit @ unit[i]
+        own[i] = -np.inf
+        assert np.allclose([scores[i, n][1] for n in range(1, 7)], np.sort(own)[::-1][:6], atol=1e-12)
+    assert [scores[45, n][0] for n in range(1, 7)] == [3, 40, 41, 42, 43, 44]
+
+
+def test_copies_of_blocks_follow_the_cores_and_a_tile_is_bounded():
+    """Six times the items: copies grow by less than half, where every block met every other before."""
+    from cadenza.operators import tiles
+    copies = []
+    for n in (100_000, 600_000):
+        groups, lanes = tiles.shape(n, n // 1024, n, n // 1024, 12)
+        assert n / groups <= tiles.TILE_ROWS and n / lanes <= tiles.LANE_ROWS and groups * lanes >= 24
+        copies.append(groups + lanes)
+    assert copies[1] <= 1.5 * copies[0] <= 24
+
+
 def test_sample_users_exact_size_and_deterministic(spark):
     users = spark.range(5000).select(F.col("id").cast("int").alias("user_id"))
     a = ranker.sample_users(users, n=1234, seed=42)
