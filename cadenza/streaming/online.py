@@ -21,6 +21,7 @@ there, which hides the older list. :func:`compact` folds a sink's batches into o
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,20 +39,26 @@ STATE_SCHEMA = "items array<int>, ts array<timestamp_ntz>, event_ids array<bigin
 LATEST_SCHEMA = "user_id int, items array<int>, ts array<timestamp_ntz>, event_ids array<bigint>"
 
 
+def _age(event: tuple) -> tuple:
+    """Order of events by ``(ts, event_id)``; those without a time are the oldest."""
+    ts, event_id = event[:2]
+    return ts is not None, ts or dt.datetime.min, event_id
+
+
 def _keep_newest(n: int, idle_ms: int | None = None):
     def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:  # idle user: drop its state, emit nothing
             state.remove()
             return
-        frames = list(batches)
+        # plain lists: a frame, or a sort of one, for every user would cost more than all else
+        events: list[tuple] = []
+        for pdf in batches:
+            events.extend(zip(pdf["ts"].to_numpy().astype("datetime64[us]").tolist(), pdf["event_id"].tolist(), pdf["item_id"].tolist()))
         if state.exists:
             items, ts, ids = state.get
-            frames.append(pd.DataFrame({"item_id": list(items), "ts": list(ts), "event_id": list(ids)}))
-        merged = pd.concat([f[["item_id", "ts", "event_id"]] for f in frames], ignore_index=True)
-        newest = merged.sort_values(["ts", "event_id"], ascending=False, kind="mergesort").head(n)
-        items = [int(x) for x in newest["item_id"]]
-        ts = [pd.Timestamp(x).to_pydatetime() for x in newest["ts"]]
-        ids = [int(x) for x in newest["event_id"]]
+            events.extend(zip(ts, ids, items))
+        newest = sorted(events, key=_age, reverse=True)[:n]
+        items, ts, ids = [int(e[2]) for e in newest], [e[0] for e in newest], [int(e[1]) for e in newest]
         state.update((items, ts, ids))
         if idle_ms is not None:
             state.setTimeoutDuration(idle_ms)

@@ -124,3 +124,27 @@ def test_ranges_are_pushed_beyond_the_bound(spark, fx, monkeypatch):
     got = online.of_users(fx.events, users)
     assert "GreaterThanOrEqual(user_id,3)" in got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == fx.events.where("user_id in (3, 9)").count()
+
+
+def test_state_of_many_users_is_kept_without_frames(spark, monkeypatch):
+    """A user's state costs no sort or join of frames; equal times go by event id, events without a time are oldest."""
+    import pandas as pd
+    from cadenza.streaming import online
+    from helpers import ts
+
+    class State:
+        hasTimedOut, exists, get = False, True, ([7, 8], [ts(2), ts(1)], [70, 80])
+
+        def update(self, value):
+            self.got = value
+
+    state = State()
+    batch = pd.DataFrame({"user_id": [5] * 4, "item_id": [1, 2, 3, 4], "ts": pd.to_datetime([ts(1), ts(2), ts(3), None]), "event_id": [81, 69, 1, 99]})
+    monkeypatch.setattr(pd, "concat", None)
+    monkeypatch.setattr(pd.DataFrame, "sort_values", None)
+    out = list(online._keep_newest(5)((5,), iter([batch]), state))
+    assert state.got == ([3, 7, 2, 1, 8], [ts(3), ts(2), ts(2), ts(1), ts(1)], [1, 70, 69, 81, 80])
+    assert out[0].to_dict("records") == [{"user_id": 5, "items": state.got[0], "ts": state.got[1], "event_ids": state.got[2]}]
+    state.get = ([], [], [])
+    list(online._keep_newest(5)((5,), iter([batch]), state))
+    assert state.got[0] == [3, 2, 1, 4] and state.got[1][-1] is None
