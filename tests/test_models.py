@@ -112,6 +112,42 @@ def test_ranker_ties_prefer_higher_als_score(spark):
     assert sorted(r.item_id for r in same.collect()) == [1, 1, 1, 2, 2, 2]  # then lower item id
 
 
+def _leaves(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_rows_apart_counts_rows_and_reads_each_side_once(spark, tmp_path):
+    from cadenza.plans.model_queries import rows_apart
+    schema = "user_id int, score double"
+    one = spark.createDataFrame([(1, 1.0), (1, 1.0), (1, None), (None, 2.0), (3, 3.0)], schema)
+    other = spark.createDataFrame([(1, 1.0), (1, None), (None, 2.0), (3, 3.5), (4, None), (4, None)], schema)
+    frames = []
+    for name, df in (("one", one), ("other", other)):
+        df.write.parquet(f"{tmp_path}/{name}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    one, other = frames
+    apart = one.exceptAll(other).unionByName(other.exceptAll(one))
+    assert rows_apart(one, other).agg(F.sum("n")).first()[0] == apart.count() == 5
+    assert rows_apart(one, one).agg(F.sum("n")).first()[0] == 0
+    assert _leaves(rows_apart(one, other)) == 2 < _leaves(apart)
+
+
+def test_list_checks_by_value_without_copies_of_the_rows(spark):
+    """Null owners and items, repeats, gaps in the ranks, rising scores: what an owner repeats is counted
+    among its own rows, not by an expanded copy of all rows for every distinct count."""
+    from cadenza.plans.model_queries import list_checks
+    schema = "user_id int, item_id int, score double, rank int"
+    df = spark.createDataFrame([(1, 10, 3.0, 1), (1, 11, 4.0, 2), (1, 11, 1.0, 4), (2, None, 1.0, 1), (2, 12, 1.0, 2),
+                                (None, 10, 1.0, 1), (None, 10, 1.0, 2), (3, 99, None, 1), (3, 99, 5.0, 2)], schema)
+    known = spark.createDataFrame([(10,), (11,), (11,), (12,)], "item_id int")
+    out = list_checks(df, "user_id", "item_id", known, "x_")
+    assert {r.check_name: r.value for r in out.collect()} == {
+        "x_rows": 9.0, "x_owners": 3.0, "x_bad_ranks": 1.0, "x_rising_scores": 1.0, "x_unknown_items": 3.0, "x_repeated": 5.0}
+    assert "gid#" not in out._jdf.queryExecution().optimizedPlan().toString()  # Spark's number of such a copy
+    empty = list_checks(df.where("false"), "user_id", "item_id", known, "x_")
+    assert {r.value for r in empty.collect()} == {0.0} and empty.count() == 6
+
+
 def test_repeated_vectors_give_k_rows_each(spark):
     n, k = 5000, 3
     same = spark.range(n).selectExpr("int(id) item_id", "array(float(1), float(2)) vector")

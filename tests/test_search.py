@@ -73,6 +73,38 @@ def test_long_norms_are_all_that_is_scored(spark):
     assert got.work.first().skipped_share > 0.95
 
 
+def test_few_pairs_are_scored_in_double_precision(monkeypatch):
+    """Once lists are full, single precision leaves few pairs of a chunk to look at, and none that counts is lost."""
+    rng = np.random.default_rng(4)
+    users, items = rng.normal(size=(300, 8)).astype("<f4"), rng.normal(size=(20_000, 8))
+    items[50:90] = items[7]  # equal scores: the lower ids stay
+    items = (items / np.linalg.norm(items, axis=1, keepdims=True)).astype("<f4").astype(float)  # no norm ends the search
+    norms = np.linalg.norm(items, axis=1)
+    order = np.lexsort((np.arange(len(items)), -norms))
+    whole, tops = [], topn.top
+    monkeypatch.setattr(topn, "top", lambda scores, ids, n: whole.append(scores.size) or tops(scores, ids, n))
+    tile = topn._Tile(5, "<f4")
+    tile.add(0, np.arange(300, dtype="<i8").tobytes(), users.tobytes())
+    for at in range(0, len(order), 500):
+        own = order[at:at + 500]
+        tile.compare(own, items[own], norms[own[0]])
+    assert sum(whole) < 0.1 * tile.scored
+    scores = np.einsum("ud,id->ui", users.astype(float), items)
+    assert np.allclose(tile.scores, np.sort(scores, axis=1)[:, ::-1][:, :5], rtol=1e-12)
+    assert np.allclose(np.take_along_axis(scores, tile.items, axis=1), tile.scores, rtol=1e-12)
+
+
+@pytest.mark.parametrize("scale", [1e-200, 1.0, 1e200])
+def test_search_of_numbers_beyond_single_precision(spark, scale):
+    rng = np.random.default_rng(6)
+    users, items = rng.integers(-4, 5, (20, 4)), rng.integers(-4, 5, (90, 4))
+    got = topn.top_inner_products(vectors(spark, users * scale, "user_id"), vectors(spark, items / scale, "item_id"), 7, chunk=16, block=8)
+    score = lambda u, i: float(users[u - 1] @ items[i - 1])
+    expected = {u: [score(u, i) for i in own] for u, own in brute(users, items, 7).items()}
+    found = lists_of(got.recs)
+    assert {u: [score(u, i) for i in own] for u, own in found.items()} == expected
+
+
 def test_top_inner_products_odd_cases(spark):
     none = spark.createDataFrame([], "user_id int, vector array<double>")
     items = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [1.0, 0.0])], "item_id int, vector array<double>")
