@@ -212,3 +212,58 @@ def test_item_popularity_approx_close_to_exact(spark, fx):
     approx = {r.item_id: r.users for r in item_popularity(fx.train, approx=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[i] - exact[i]) <= max(1, 0.05 * exact[i]) for i in exact)
+
+
+def _plays(spark, users=40, items=25):
+    rows = [(u, i, ((u * 37 + i * 11) % 97) / 9.0, int((u * 5 + i * 3) % 7 < 3), 3 + u % 9, 1 + i * i % 31) for u in range(users) for i in range(items)]
+    return spark.createDataFrame(rows, "user_id int, item_id int, als_score double, target int, tracks_played_by_user bigint, item_plays bigint")
+
+
+def test_ranker_fits_weighted_cells_as_it_fits_rows(spark):
+    cands = _plays(spark)
+    users = cands.select("user_id").distinct()
+    params = {"max_iter": 6, "depth": 4}
+    own, rows = ranker.fit_ranker(cands, users, **params), ranker.training_rows(cands, users)
+    plain = ranker.ranker_pipeline(**params).fit(rows)
+    assert ranker.model_thresholds(own) and not own.stages[1].isSet("weightCol") and own.stages[1].getMaxBins() == 32
+    assembler, gbt = plain.stages
+    expected = gbt.evaluateEachIteration(assembler.transform(rows))
+    assert np.allclose(ranker.losses(own, cands, users), expected, atol=1e-9, rtol=0)
+    assert np.allclose(ranker.losses(plain, cands, users), expected, atol=1e-12, rtol=0)
+    twice = ranker.fit_ranker(cands.unionByName(cands), users, **params)  # rows count as often as they come
+    assert np.allclose(ranker.losses(twice, cands, users), expected, atol=1e-9, rtol=0)
+    by_row = plain.transform(cands.select("user_id", "item_id", *[F.col(c).cast("double").alias(c) for c in ranker.FEATURES])).select(
+        "user_id", "item_id", ranker.vector_to_array("probability")[1].alias("p"))
+    ranked = ranker.rank_candidates(plain, cands, users, n=10_000)
+    both = ranked.join(by_row, ["user_id", "item_id"])
+    assert both.count() == 1000 and both.where("score != p").count() == 0
+
+
+def test_training_thresholds_are_spark_mls(spark):
+    rng = np.random.default_rng(3)
+    for rows in (4_000, 25_000):  # all of them, a sample
+        drawn = zip(range(rows), rng.normal(size=rows).tolist(), rng.integers(0, 3, rows).tolist(), rng.poisson(20, rows).tolist(), rng.integers(0, 2, rows).tolist())
+        cands = spark.createDataFrame([(u % 50, u, s, t, p, q) for u, s, p, q, t in drawn],
+                                      "user_id int, item_id int, als_score double, target int, tracks_played_by_user bigint, item_plays bigint")
+        data = ranker.stored(ranker.training_rows(cands, cands.select("user_id").distinct()), "rows").repartition(1)
+        splits = ranker.training_splits(data, rows, 32, ranker.SEED)
+        plain = ranker.ranker_pipeline(max_iter=12, depth=6).fit(data)
+        used = ranker.model_thresholds(plain)
+        assert [len(s) for s in splits] == [31, 2, len(splits[2])] and len(splits[2]) <= 31
+        assert all(u and set(u) <= set(s) for u, s in zip(used, splits))
+
+
+def test_places_of_values_and_refused_features(spark):
+    values = spark.createDataFrame([(None,), (float("nan"),), (-1.0,), (0.5,), (0.6,), (99.0,)], "x double")
+    for thresholds in ([], [0.5], [i / 2 for i in range(9)], [i / 2 for i in range(100)]):
+        got = [r.n for r in values.select(ranker.place(F.col("x"), thresholds).alias("n")).collect()]
+        least = lambda v: sum(not v <= t for t in thresholds)
+        assert got == [len(thresholds), len(thresholds), least(-1.0), least(0.5), least(0.6), least(99.0)]
+    cands = _plays(spark, 6, 6)
+    users = cands.select("user_id").distinct()
+    model = ranker.fit_ranker(cands, users, max_iter=2, depth=2)
+    odd = cands.withColumn("als_score", F.when(F.col("item_id") == 3, F.lit(float("nan"))).otherwise(F.col("als_score")))
+    with pytest.raises(ValueError, match="null or NaN"):
+        ranker.fit_ranker(odd, users, max_iter=2, depth=2)
+    with pytest.raises(Exception, match="null or NaN"):
+        ranker.rank_candidates(model, odd, users).collect()
