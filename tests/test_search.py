@@ -236,3 +236,21 @@ def test_dense_ids_of_any_type(spark):
     assert sorted((r.i, r.n) for r in back.collect()) == [(5, 2), (5, 4), (7, 3), (10**12, 1)]
     with pytest.raises(ValueError):
         ids.encode(df, users, "u", unknown="maybe")
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_full_products_score_every_pair(spark, kind, monkeypatch):
+    monkeypatch.setattr(topn, "LANE_CHUNKS", 1)
+    rng = np.random.default_rng(5)
+    left, right = rng.normal(size=(90, 6)).round(1), rng.normal(size=(400, 6)).round(1)
+    right[7], right[9] = right[300], 0  # ties, a zero vector
+    users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(left)] + [(99, None)], f"user_id int, vector array<{kind}>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(right)], f"item_id int, vector array<{kind}>")
+    expected = -np.sort(-(left @ right.T), axis=1)
+    for n, kw in ((7, {}), (7, {"chunk": 16, "block": 20}), (500, {"chunk": 64})):
+        found = topn.full_products(users, items, n, **kw)
+        got = {(r.user_id, r["rank"]): r for r in found.recs.collect()}
+        assert len(got) == 90 * min(n, 400)
+        assert max(abs(expected[u, k - 1] - r.score) for (u, k), r in got.items()) < 1e-4
+        assert max(abs(left[u] @ right[r.item_id] - r.score) for (u, _), r in got.items()) < 1e-4
+        assert found.work.first().scored == 90 * 400  # no bound leaves a pair out
