@@ -254,3 +254,27 @@ def test_full_products_score_every_pair(spark, kind, monkeypatch):
         assert max(abs(expected[u, k - 1] - r.score) for (u, k), r in got.items()) < 1e-4
         assert max(abs(left[u] @ right[r.item_id] - r.score) for (u, _), r in got.items()) < 1e-4
         assert found.work.first().scored == 90 * 400  # no bound leaves a pair out
+
+
+def test_normal_equations_of_plays_cut_into_batches(spark):
+    pairs = [(u, i) for u in range(25) for i in range(40) if (u * 7 + i * 3) % 5 < 2]
+    weights = spark.createDataFrame([(u, i, 1 + (u + i) % 4) for u, i in pairs], "user_id int, item_id int, plays bigint")
+    model = cf.fit_als(weights, rank=6, max_iter=2)
+    x, y = ({r.id: np.array(r.features, float) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    square = sum(np.outer(v, v) for v in y.values())
+    expected = {}
+    for u in x:
+        own = [(y[i], 1 + (u + i) % 4) for v, i in pairs if v == u]
+        right = sum((1 + c) * v for v, c in own)
+        gap = square @ x[u] + sum(c * (v @ x[u]) * v for v, c in own) + cf.ALS_REG * len(own) * x[u] - right
+        expected[u] = np.linalg.norm(gap) / np.linalg.norm(right)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            gaps = cf.normal_equations(model, weights)
+            got = {r.user_id: r.residual for r in gaps.collect()}
+            assert got.keys() == expected.keys() and max(abs(got[u] - expected[u]) for u in got) < 1e-9
+            assert "sum(" not in gaps._jdf.queryExecution().toString()  # no aggregate per pair of factors
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
